@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import fingerprints, packing, sharding, warc
 
-MODULES = (sharding,)
+MODULES = (sharding, packing, fingerprints, warc)
 QUERIES: dict = {}
 ORACLE: dict = {}
 for _m in MODULES:
