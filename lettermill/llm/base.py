@@ -6,62 +6,19 @@ cost a few nanoseconds a byte instead of a Python object a word. Null texts coun
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text that a kernel works on at once (one text at least).
-SLICE_BYTES = 1 << 21
-
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each Spark application."""
-    sc = spark.sparkContext
-    if getattr(sc, "_lettermill_shipped", False):
-        return
-    path = os.path.join(tempfile.mkdtemp(), "lettermill.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, dirs, names in os.walk(ROOT):
-            dirs[:] = [d for d in dirs if d != "__pycache__"]
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(ROOT)))
-    sc.addPyFile(path)
-    sc._lettermill_shipped = True
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="lettermill-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named)
-    return named
+from lettermill.session import durable, shared_dir, ship, shuffle_partitions, table
 
+__all__ = ["durable", "shared_dir", "ship", "shuffle_partitions", "table"]
 
-def durable(df: DataFrame) -> DataFrame:
-    """Computed once, written to the shared folder, lineage cut: it outlives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Bytes of text that a kernel works on at once (one text at least).
+SLICE_BYTES = 1 << 21
 
 
 def range_cells(df: DataFrame, key: str, cells: int) -> tuple[list, F.Column]:
@@ -214,3 +171,44 @@ def list_array(values: np.ndarray | pa.Array, counts: np.ndarray) -> pa.ListArra
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+class HashIndex:
+    """Numbers 0, 1, .. for 64-bit hashes, in an open hash table that is probed for many at once. Zero is no hash."""
+
+    def __init__(self, log_slots: int):
+        self.log_slots = log_slots
+        self.keys = np.zeros(1 << log_slots, np.uint64)
+        self.numbers = np.zeros(1 << log_slots, np.int32)
+        self.size = 0
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.log_slots)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1."""
+        slot = self._slot(h)
+        got = self.keys[slot]
+        out = np.where(got == h, self.numbers[slot], np.int32(-1))
+        at = np.flatnonzero((got != h) & (got != 0))
+        while len(at):
+            slot[at] = (slot[at] + 1) & ((1 << self.log_slots) - 1)
+            got = self.keys[slot[at]]
+            same = got == h[at]
+            out[at[same]] = self.numbers[slot[at[same]]]
+            at = at[~same & (got != 0)]
+        return out
+
+    def add(self, h: np.ndarray) -> None:
+        """Number distinct hashes that aren't in the table yet, in their order."""
+        number = np.arange(self.size, self.size + len(h), dtype=np.int32)
+        self.size += len(h)
+        slot = self._slot(h)
+        left = np.arange(len(h))
+        while len(left):
+            free = self.keys[slot[left]] == 0
+            self.keys[slot[left[free]]] = h[left[free]]  # of several for one slot the last stays
+            done = self.keys[slot[left]] == h[left]
+            self.numbers[slot[left[done]]] = number[left[done]]
+            left = left[~done]
+            slot[left] = (slot[left] + 1) & ((1 << self.log_slots) - 1)
