@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import fingerprints, packing, sharding, warc
+from . import decontaminate, fingerprints, language, lines, minhash, packing, quality, sharding, warc
 
-MODULES = (sharding, packing, fingerprints, warc)
+MODULES = (minhash, language, lines, sharding, fingerprints, warc, decontaminate, quality, packing)
 QUERIES: dict = {}
 ORACLE: dict = {}
 for _m in MODULES:
