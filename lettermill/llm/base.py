@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.session import durable, shared_dir, ship, shuffle_partitions, table
+from lettermill.session import durable, shared_dir, ship, shuffle_partitions, stored, table
 
-__all__ = ["durable", "shared_dir", "ship", "shuffle_partitions", "table"]
+__all__ = ["durable", "shared_dir", "ship", "shuffle_partitions", "stored", "table"]
 
 #: Bytes of text that a kernel works on at once (one text at least).
 SLICE_BYTES = 1 << 21

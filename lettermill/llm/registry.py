@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, language, lines, minhash, packing, quality, sharding, warc
+from . import decontaminate, fingerprints, language, lines, minhash, packing, quality, sharding, substrings, warc
 
-MODULES = (minhash, language, lines, sharding, fingerprints, warc, decontaminate, quality, packing)
+MODULES = (minhash, language, lines, sharding, fingerprints, warc, substrings, decontaminate, quality, packing)
 QUERIES: dict = {}
 ORACLE: dict = {}
 for _m in MODULES:
