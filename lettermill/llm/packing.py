@@ -14,18 +14,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import ship, slices, table
+from .base import LOWER, HashIndex, Words, ship, slices, table, utf8
 
 WINDOW = 2048
 #: Tokens that a packing group gathers before it is packed; a group never spans tasks.
 GROUP_TOKENS = 1 << 20
-#: Distinct text chunks whose ids a worker remembers.
-CACHE_CHUNKS = 400_000
+#: Distinct units whose ids a worker remembers.
+CACHE_UNITS = 1_500_000
 
 PIECES = T.StructType(
     [
@@ -46,64 +45,105 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class ChunkTokenizer:
-    """Ids of whole texts, chunk by chunk.
-
-    The tokenizer's rules never join characters across ASCII white space, so a text's ids are those of its chunks in
-    turn. Each distinct chunk is encoded once and remembered, up to a bound; the ids of a text are then gathered.
+#: Classes of bytes: white space, ASCII letters, ASCII punctuation but the apostrophe, all others.
+KINDS = np.full(256, 3, np.uint8)
+KINDS[[0x20, 9, 10, 11, 12, 13]] = 0
+KINDS[65:91] = KINDS[97:123] = 1
+KINDS[33:48] = KINDS[58:65] = KINDS[91:97] = KINDS[123:127] = 2
+KINDS[0x27] = 3
+
+
+class Units(Words):
+    """Stretches of a text that the tokenizer never joins: words between white space, and in these letters apart from
+    punctuation. A boundary next to an apostrophe or a code point above 127 is left alone."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        kind = KINDS[data]
+        self.data, self.offsets = LOWER[data], offsets
+        n = len(data)
+        self.mask = kind > 0
+        breaks = np.zeros(n + 1, bool)
+        breaks[offsets] = True
+        pair = kind[:-1] + kind[1:] * np.uint8(4)
+        breaks[1:n] |= (pair == 9) | (pair == 6)  # a letter then punctuation, or the other way round
+        before = np.zeros(n + 1, bool)
+        before[1:] = self.mask
+        self.starts = np.flatnonzero(self.mask & (~before[:-1] | breaks[:-1]))
+        after = np.zeros(n + 1, bool)
+        after[:-1] = self.mask
+        self.ends = np.flatnonzero(self.mask & (~after[1:] | breaks[1:])) + 1
+        self.first = np.searchsorted(self.starts, offsets)
+        self.counts = np.diff(self.first)
+
+
+class UnitTokenizer:
+    """Ids of whole texts, unit by unit.
+
+    The tokenizer lower-cases, and its rules never join characters across the bounds of Units, so a text's ids are
+    those of its units in turn. Each distinct unit is encoded once and remembered by its 64-bit hash, up to a bound;
+    the ids of a text are then gathered. Texts with the tokenizer's own marks in them are encoded as a whole.
     """
 
-    def __init__(self, path: str, cache: int = CACHE_CHUNKS):
+    def __init__(self, path: str, cache: int = CACHE_UNITS):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.cache_most = cache
-        self.known: dict[str, int] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.known.clear()
+        self.index = HashIndex((2 * self.cache_most).bit_length())
         self.flat = np.zeros(1 << 20, np.uint16)
-        self.at = np.zeros(1 << 19, np.int64)
-        self.size = np.zeros(1 << 19, np.int32)
+        self.at = np.zeros(1 << 18, np.int32)
+        self.size = np.zeros(1 << 18, np.int32)
         self.used = 0
 
-    def _learn(self, chunks: list[str]) -> None:
-        for i in range(0, len(chunks), 20_000):
-            part = chunks[i : i + 20_000]
-            for chunk, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True):
-                ids = e.ids
-                k, n = len(self.known), len(ids)
-                while self.used + n > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint16)])
-                if k >= len(self.at):
-                    self.at, self.size = np.concatenate([self.at, self.at * 0]), np.concatenate([self.size, self.size * 0])
-                self.flat[self.used : self.used + n] = ids
-                self.at[k], self.size[k] = self.used, n
-                self.used += n
-                self.known[chunk] = k
+    def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
+        k = self.index.size
+        while k + len(units) > len(self.at):
+            self.at, self.size = np.concatenate([self.at, self.at * 0]), np.concatenate([self.size, self.size * 0])
+        encode, each = self.tok.encode, []
+        for unit in units:
+            ids = encode(unit, add_special_tokens=False).ids
+            each.append(len(ids))
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, self.flat * 0])
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
+        self.size[k : k + len(units)] = each
+        self.at[k : k + len(units)] = self.used - np.cumsum(each[::-1])[::-1]
+        self.index.add(hashes)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and how many each text has."""
-        chunks = pc.ascii_split_whitespace(texts)
-        per_text = pc.list_value_length(chunks).to_numpy(zero_copy_only=False)
-        coded = chunks.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if len(self.known) + len(names) > self.cache_most:
-            self._reset()
-        known = self.known
-        if new := [x for x in names if x not in known]:
-            self._learn(new)
-        rows = np.fromiter((known[x] for x in names), np.int64, len(names))
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        at, size = (self.at[rows][codes], self.size[rows][codes]) if len(names) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        size = size.astype(np.int64)
+        data, offsets = utf8(texts)
+        units = Units(data, offsets)
+        h = units.hashes(23) | np.uint64(1)
+        found = self.index.find(h)
+        if (missing := np.flatnonzero(found < 0)).size:
+            _, first = np.unique(h[missing], return_index=True)
+            new = missing[np.sort(first)]
+            if self.index.size + len(new) > self.cache_most:
+                self._reset()
+                _, first = np.unique(h, return_index=True)
+                new = np.sort(first)
+            raw = units.data.tobytes()
+            self._learn(h[new], [raw[a:b].decode() for a, b in zip(units.starts[new].tolist(), units.ends[new].tolist(), strict=True)])
+            found = self.index.find(h)
+        size = self.size[found].astype(np.int64)
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(at - (ends - size), size) + np.arange(total)]
-        bounds = np.concatenate([[0], np.cumsum(per_text)])
-        upto = np.concatenate([[0], ends])
-        return ids, np.diff(upto[bounds])
+        ids = self.flat[np.repeat(self.at[found] - (ends - size), size) + np.arange(total)]
+        upto = np.concatenate([[0], ends])[units.first]
+        counts = np.diff(upto)
+        if b"<|" in (raw := data.tobytes()):
+            parts = np.split(ids, upto[1:-1])
+            for i in range(len(offsets) - 1):
+                if b"<|" in (one := raw[offsets[i] : offsets[i + 1]]):
+                    parts[i] = np.array(self.tok.encode(one.decode(), add_special_tokens=False).ids, np.uint16)
+                    counts[i] = len(parts[i])
+            ids = np.concatenate(parts)
+        return ids, counts
 
 
 def closest_subset(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -179,7 +219,7 @@ def pack(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int,
     return out
 
 
-_tokenizers: dict[str, ChunkTokenizer] = {}
+_tokenizers: dict[str, UnitTokenizer] = {}
 
 
 def packer(path: str | None, window: int, end_id: int, group_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -188,7 +228,7 @@ def packer(path: str | None, window: int, end_id: int, group_tokens: int) -> Cal
 
         where = path or tokenizer_path()
         if where not in _tokenizers:
-            _tokenizers[where] = ChunkTokenizer(where)
+            _tokenizers[where] = UnitTokenizer(where)
         tok = _tokenizers[where]
         base = TaskContext.get().partitionId() << 33
         ids: list[np.ndarray] = []
