@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import Words, ship, slices, table, utf8
+from .base import Words, durable, ship, slices, table, utf8
 
 #: Bounds of the training sample for each language: whole documents, in the order of a hash of their ids.
 SAMPLE_DOCS = 1000
@@ -189,22 +189,24 @@ class Model:
     probs: np.ndarray
 
 
-def training_sample(docs: DataFrame, key: str, label: str, most_docs: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """At most most_docs whole documents and about most_bytes of text for each label, chosen by a hash of the key; the
-    rank is cut before the shuffle, so no label's rows meet in one task."""
-    ids = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col(key).isNotNull()).select(key, F.col(label).alias("__label"), F.octet_length("text").alias("__n"))
-    order = Window.partitionBy("__label").orderBy(F.xxhash64(F.col(key)), F.col(key))
-    few = ids.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= min(most_docs, 1000))
-    before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    few = few.withColumn("__before", before).where(F.col("__before") < most_bytes).select(F.col(key).alias("__key"), "__label")
-    return docs.join(F.broadcast(few), (F.col(key) == F.col("__key")) & (F.col(label) == F.col("__label"))).select(F.col("__label").alias("label"), "text")
+def training_sample(docs: DataFrame, labelled: DataFrame, key: str, most_docs: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(label, text) of at most most_docs whole documents and about most_bytes of text for each label, chosen by a hash
+    of the key. labelled: (key, label, n), n the bytes of the text. Ranks are cut before the shuffle, so no label's
+    rows meet in one task; texts are only read for the few that are chosen, whose ids are broadcast."""
+    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col(key)), F.col(key))
+    few = labelled.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= min(most_docs, 1000))
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    few = few.withColumn("__before", before).where(F.col("__before") < most_bytes).select(F.col(key).alias("__key"), "label")
+    few = durable(few)
+    return docs.join(F.broadcast(few), F.col(key) == F.col("__key")).select("label", "text")
 
 
 def train(docs: DataFrame, *, key: str = "doc_id", label: str = "lang", path: str | None = None) -> Model:
     """Learn from (text, label) of docs, within the bounds of training_sample; rows with a null in either are left out.
     Without any labelled row the model knows no language."""
     texts: dict[str, list[str]] = {}
-    for r in training_sample(docs, key, label).collect():
+    known = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col(key).isNotNull())
+    for r in training_sample(known, known.select(key, F.col(label).alias("label"), F.octet_length("text").alias("n")), key).collect():
         texts.setdefault(r["label"], []).append(r["text"])
     vocabulary = Vocabulary.of(public_pieces(path))
     names = sorted(x for x in texts if any(any(c.isalpha() for c in t) for t in texts[x]))

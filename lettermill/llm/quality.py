@@ -159,8 +159,10 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str
     """Learn `label` (0 or 1) from a bounded sample of labelled texts of each class. Rows with a null key, text or
     label are left out; of contradictory labels of one document each counts. Without labels of both classes every
     text gets the mean label (0.5 without any)."""
-    pair = docs.select(F.col(key), "text").join(labels.where(F.col(label).isin(0, 1)).select(F.col(key), F.col(label).cast("int").alias("__y")).distinct(), key)
-    rows = training_sample(pair, key, "__y", SAMPLE_DOCS, SAMPLE_BYTES).collect()
+    docs = docs.select(key, "text").where(F.col(key).isNotNull() & F.col("text").isNotNull())
+    marks = labels.where(F.col(label).isin(0, 1)).select(F.col(key), F.col(label).cast("int").alias("label")).distinct()
+    known = docs.select(key, F.octet_length("text").alias("n")).join(marks, key)
+    rows = training_sample(docs, known, key, SAMPLE_DOCS, SAMPLE_BYTES).collect()
     rows = sorted((r["text"].encode(), r["label"]) for r in rows)
     return fit([t for t, _ in rows], [y for _, y in rows])
 
