@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.session import durable
+from lettermill.session import stored
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -17,13 +17,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     own, repeated edges don't matter, and an empty table gives no nodes.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    both = durable(pairs.union(pairs.select("v", "u")).distinct())
-    labels = durable(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
+    both = stored(pairs.union(pairs.select("v", "u")).distinct())
+    labels = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
     while True:
         near = both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("component").alias("m"))
         step = labels.join(near, labels.node == near.u).select("node", F.col("component").alias("old"), F.least("component", "m").alias("l"))
         up = labels.select(F.col("node").alias("n2"), F.col("component").alias("l2"))
-        step = durable(step.join(up, F.col("l") == F.col("n2")).select("node", "old", F.least("l", "l2").alias("component")))
+        step = stored(step.join(up, F.col("l") == F.col("n2")).select("node", "old", F.least("l", "l2").alias("component")))
         changed = step.where("old <> component").limit(1).count()
         labels = step.drop("old")
         if not changed:
