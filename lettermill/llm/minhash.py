@@ -7,8 +7,8 @@ agree with the texts' Jaccard similarity as probability, concentrated as for ind
 
 Texts with equal sets are one class from the start. Classes that agree in a band of bins share a bucket. Each bucket
 names a pivot; links between pivots and members are confirmed on full sets. Components of the links tell which buckets
-still have members of several components that were never compared; those get further pivots, until none is left, so
-that no link within a bucket is lost and no group is expanded into all its pairs.
+still have members of several components. Of their pairs those are confirmed that share a rare shingle, or whose sizes
+without rare shingles leave a link possible: no link is lost, and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lettermill.operators.graph import connected_components
 
-from .base import LOWER, NOT_SPACE, Words, durable, list_array, mix64, randoms, ship, signed, slices, table, utf8
+from .base import LOWER, NOT_SPACE, Words, durable, list_array, mix64, randoms, ship, signed, slices, stored, table, utf8
 from .bloom import Bloom, of_column
 
 SIZE = 128
@@ -33,8 +33,8 @@ SHINGLE = 4
 PERCENT = 80
 #: A pair at the threshold shares no band with probability (1 - 0.8^4)^32 = 5e-8.
 BANDS = SIZE // ROWS
-#: Further pivots that an open bucket gets in its first round; four times as many in each that follows.
-PIVOTS = 8
+#: Texts that may have a shingle for it to count as rare.
+RARE = 4
 LOG_BITS = 26
 SEED = 29
 
@@ -164,12 +164,11 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHIN
     classes = durable(known.groupBy("digest").agg(F.min("doc").alias("node"), F.min_by("bands", "doc").alias("bands")))
     spread = classes.select("node", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).where("pivot < most").drop("most")
-    members = durable(spread.join(shared, "band"))
+    members = stored(spread.join(shared, "band"))
     nodes = members.select("node").distinct()
-    links = _links(pair, members, nodes, shingle, percent, log_bits)
+    component = _components(pair, members, nodes, shingle, percent, log_bits)
     names = classes.select("digest", "node")
-    if links is not None:
-        component = connected_components(links, "a", "b")
+    if component is not None:
         names = names.join(component, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     else:
         names = names.select("digest", F.col("node").alias("component"))
@@ -177,8 +176,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHIN
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
-def _links(pair: DataFrame, members: DataFrame, nodes: DataFrame, shingle: int, percent: int, log_bits: int) -> DataFrame | None:
-    """Confirmed links that connect whatever the links between members of any one bucket connect."""
+def _components(pair: DataFrame, members: DataFrame, nodes: DataFrame, shingle: int, percent: int, log_bits: int) -> DataFrame | None:
+    """The component of every linked node, over the links between members of all buckets; None without buckets."""
     if members.limit(1).count() == 0:
         return None
     spark = pair.sparkSession
@@ -186,36 +185,54 @@ def _links(pair: DataFrame, members: DataFrame, nodes: DataFrame, shingle: int,
     broad = spark.sparkContext.broadcast(filled)
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
     sets = pair.where("doc is not null").withColumnRenamed("doc", "node").mapInArrow(_sets(broad, shingle, log_bits), schema)
-    sets = durable(sets.join(nodes, "node", "left_semi"))
+    sets = stored(sets.join(nodes, "node", "left_semi"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("b_set"))
         # a pair whose sizes alone rule it out needs no sets
         sizes = F.least(F.size("a_set"), F.size("b_set")) * 100 >= F.greatest(F.size("a_set"), F.size("b_set")) * percent
-        return durable(pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b", "a_set", "b_set").mapInArrow(_verify(percent), PAIRS))
+        return stored(pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b", "a_set", "b_set").mapInArrow(_verify(percent), PAIRS))
 
     links = confirm(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    pivoted = members.select("band", F.col("pivot").alias("node")).distinct()
-    label = connected_components(links, "a", "b")
-    most = PIVOTS
-    while True:
-        # of members that were never pivots, those in different components are still open
-        free = members.select("band", "node").join(pivoted, ["band", "node"], "left_anti").join(label, "node", "left")
-        free = free.select("band", "node", F.coalesce("component", "node").alias("l"))
-        parts = free.groupBy("band", "l").agg(F.count("*").alias("n"))
-        main = parts.groupBy("band").agg(F.max_by("l", F.struct("n", "l")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-        free = durable(free.join(main, "band"))
-        if free.limit(1).count() == 0:
-            return links
-        # the next pivots of a bucket stand outside its largest component
-        turn = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-        heads = durable(free.where("l <> main").withColumn("turn", turn).where(F.col("turn") <= most).select("band", F.col("node").alias("a"), F.col("l").alias("la")))
-        pairs = free.join(heads, "band").where("l <> la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = durable(links.union(confirm(pairs)))
-        pivoted = durable(pivoted.union(heads.select("band", F.col("a").alias("node"))))
-        label = connected_components(links, "a", "b")
-        most *= 4
+    label = stored(connected_components(links, "a", "b"))
+    # a bucket is open if members that weren't its pivot are in several components; it joins the group of its largest
+    free = members.where("node <> pivot").select("band", "node").join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("l"))
+    parts = free.groupBy("band", "l").agg(F.count("*").alias("n"))
+    main = parts.groupBy("band").agg(F.max_by("l", F.struct("n", "l")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    group = stored(free.join(main, "band").select("main", "node", "l").distinct())
+    if group.limit(1).count() == 0:
+        return label
+    found = confirm(_open_pairs(group, sets, percent))
+    # components of components
+    ends = found.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    up = connected_components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct(), "a", "b").select(F.col("node").alias("old"), F.col("component").alias("new"))
+    every = nodes.join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return every.join(up, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
+
+
+def _open_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a group, in different components, that may be linked; no pair that is linked is left out.
+
+    A shingle is rare that at most RARE texts of all groups have. Two texts either share a rare shingle, and are found
+    by it, or they share no more than what is left of the smaller one without its rare shingles.
+    """
+    label = group.select("node", "l").distinct()
+    spread = sets.join(label.select("node"), "node", "left_semi").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
+    counts = spread.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    rare = stored(spread.select("node", "h").join(counts, "h"))
+    near = rare.where("c > 1").select("node", "h").join(label, "node")
+    other = near.select("h", F.col("node").alias("b"), F.col("l").alias("lb"))
+    by_rare = near.join(other, "h").where("node < b and l <> lb").select(F.col("node").alias("a"), "b").distinct()
+    size = sets.join(label.select("node"), "node", "left_semi").select("node", F.size("shingles").alias("n"))
+    size = size.join(rare.groupBy("node").agg(F.count("*").alias("r")), "node", "left").select("node", F.col("n").cast("long").alias("n"), (F.col("n") - F.coalesce("r", F.lit(0))).alias("m"))
+    g = stored(group.join(size, "node"))
+    x = g.where("l <> main").select("main", F.col("node").alias("a"), F.col("l").alias("la"), F.col("n").alias("na"), F.col("m").alias("ma"))
+    # with s shared: 100 s >= percent (na + nb - s)
+    may = F.least("ma", "m") * (100 + percent) >= (F.col("na") + F.col("n")) * percent
+    by_size = x.join(g, "main").where((F.col("la") != F.col("l")) & may).where((F.col("l") == F.col("main")) | (F.col("a") < F.col("node")))
+    by_size = by_size.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+    return by_rare.union(by_size).distinct()
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
