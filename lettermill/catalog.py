@@ -4,21 +4,610 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from lettermill.config import CLASS_LABELS, SOURCE_LABELS
+from lettermill.functions import text as X
+from lettermill.operators import dedup, graph, mime, similarity, split, stats
+from lettermill.session import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+#: DuckDB spellings of the patterns' parts.
+_S, _W = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]", r"[\p{L}\p{N}_]"
+
+
+def _collapsed(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{_S}+', ' ', 'g'))"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---- normalising and exact dedup -----------------------------------------------------------------------------------
+
+
+@query(f"WITH t AS (SELECT doc_id, {_collapsed('text')} AS x FROM documents) SELECT doc_id, sha256(x) AS id, length(x) AS n_chars FROM t")
+def ws_normalize_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = X.collapse(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.content_id(text).alias("id"), F.length(text).alias("n_chars"))
+
+
+_IDS = f"SELECT *, sha256({_collapsed('text')}) AS id FROM documents"
+
+
+def _with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").withColumn("id", X.content_id(X.collapse(F.col("text"))))
+
+
+@query(f"SELECT id, source, doc_id FROM ({_IDS}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY source, doc_id) = 1")
+def exact_dedup_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.first_of_each(_with_id(spark, sf_dir).select("id", "source", "doc_id"), "id", ["source", "doc_id"])
+
+
+@query(f"""
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY source, doc_id) AS rn FROM ({_IDS}))
+SELECT CASE WHEN trim(text) = '' OR lang IS NULL THEN 'dropped_empty_or_undetected' WHEN lang <> 'en' THEN 'dropped_non_english'
+            WHEN rn > 1 THEN 'dropped_duplicate' ELSE 'kept' END AS status, count(*) AS n
+FROM d GROUP BY 1
+""")
+def lang_filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_id(spark, sf_dir).select("id", "source", "doc_id", "lang", (F.trim("text") == "").alias("blank"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("source", "doc_id"))
+    status = F.when(F.col("blank") | F.col("lang").isNull(), "dropped_empty_or_undetected").when(F.col("lang") != "en", "dropped_non_english").when(F.col("rn") > 1, "dropped_duplicate").otherwise("kept")
+    return stats.status_counts(docs.withColumn("rn", rank).select(status.alias("status")))
+
+
+@query(f"""
+WITH d AS ({_IDS}), known AS (SELECT DISTINCT id FROM d JOIN labels USING (doc_id))
+SELECT id, doc_id FROM d WHERE id NOT IN (SELECT id FROM known) QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1
+""")
+def incremental_append_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text no labelled document has."""
+    docs = _with_id(spark, sf_dir).select("id", "doc_id")
+    known = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    return dedup.not_yet_known(docs, known.select("id").distinct(), "id", ["doc_id"])
+
+
+@query(f"""
+WITH d AS (SELECT id, lang, doc_id FROM ({_IDS})),
+s1 AS (SELECT * FROM (SELECT * FROM d WHERE lang = 'de' QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1) ORDER BY doc_id LIMIT 30),
+s2 AS (SELECT * FROM (SELECT * FROM d WHERE lang = 'en' AND id NOT IN (SELECT id FROM s1) QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1) ORDER BY doc_id LIMIT 30),
+s3 AS (SELECT * FROM (SELECT * FROM d WHERE lang = 'es' AND id NOT IN (SELECT id FROM s1 UNION SELECT id FROM s2) QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1) ORDER BY doc_id LIMIT 30),
+s4 AS (SELECT * FROM (SELECT * FROM d WHERE lang = 'fr' AND id NOT IN (SELECT id FROM s1 UNION SELECT id FROM s2 UNION SELECT id FROM s3) QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1) ORDER BY doc_id LIMIT 30)
+SELECT id, lang, doc_id FROM s1 UNION ALL SELECT id, lang, doc_id FROM s2 UNION ALL SELECT id, lang, doc_id FROM s3 UNION ALL SELECT id, lang, doc_id FROM s4
+""")
+def limit_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty new texts of each language in turn: the limit is the feature."""
+    docs = _with_id(spark, sf_dir).select("id", "lang", "doc_id")
+    return dedup.admit_by_source(docs, key="id", source="lang", order=["doc_id"], limit=30, sources=["de", "en", "es", "fr"])
+
+
+@query("SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 7")
+def per_class_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.first_n(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", 7, ["doc_id"])
+
+
+# ---- URLs and HTML -------------------------------------------------------------------------------------------------
+
+_URL = r"(?i)(?:(?:https?|ftps?|hxxps?|fxps?)://|www\d{0,3}\.)[^\s\x1c-\x1f<>\"''`)\]}]+"
+_SPACED = rf"(?i)(?:https?|ftps?|hxxps?|fxps?){_S}*:{_S}*/{_S}*/(?:{_S}*(?:{_W}|-)+(?:{_S}*\.{_S}*(?:{_W}|-)+)*(?:{_S}*/{_S}*[^\s\x1c-\x1f]*)*)?"
+_SPACED_WWW = rf"(?i)www\d{{0,3}}(?:{_S}*\.{_S}*(?:{_W}|-)+)+(?:{_S}*/{_S}*[^\s\x1c-\x1f]+)*"
+_SPIKED_SQL = "'See ' || url || ' or (https://x.example/' || page_id || '), hxxps://bad[.]example/p and www . a' || page_id || ' . b / c. Bye'"
+
+
+def _spiked(url: str = "url", key: str = "page_id") -> Column:
+    k = F.col(key).cast("string")
+    return F.concat(F.lit("See "), F.col(url), F.lit(" or (https://x.example/"), k, F.lit("), hxxps://bad[.]example/p and www . a"), k, F.lit(" . b / c. Bye"))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, {_SPIKED_SQL} AS t FROM pages),
+u AS (SELECT page_id, unnest(list_concat(regexp_extract_all(t, '{_URL}'),
+      list_transform(list_concat(regexp_extract_all(t, '{_SPACED}'), regexp_extract_all(t, '{_SPACED_WWW}')), lambda x: regexp_replace(x, '{_S}+', '', 'g')))) AS url FROM p)
+SELECT page_id, url, count(*) AS n FROM u GROUP BY ALL
+""")
+def url_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", F.explode(X.find_urls(_spiked())).alias("url"))
+    return found.groupBy("page_id", "url").agg(F.count("*").alias("n"))
+
+
+def _sql_strip_urls(x: str) -> str:
+    for p in (_URL, _SPACED, _SPACED_WWW):
+        x = f"regexp_replace({x}, '{p}', ' ', 'g')"
+    return x
+
+
+@query(f"SELECT page_id, {_sql_strip_urls(_SPIKED_SQL)} AS t FROM pages")
+def url_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", X.strip_urls(_spiked()).alias("t"))
+
+
+@query("""
+SELECT page_id, replace(replace(replace(regexp_replace(regexp_replace(trim(x), '(?i)^hxxp', 'http'), '(?i)^fxp', 'ftp'), '[.]', '.'), '(.)', '.'), '[dot]', '.') AS live
+FROM (SELECT page_id, ' ' || replace(regexp_replace(url, '^http', 'hXXp'), '.', '[.]') || '(.)x[dot]y ' AS x FROM pages)
+""")
+def url_refang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fanged = F.concat(F.lit(" "), F.replace(F.regexp_replace("url", "^http", "hXXp"), F.lit("."), F.lit("[.]")), F.lit("(.)x[dot]y "))
+    return table(spark, sf_dir, "pages").select("page_id", X.live_url(fanged).alias("live"))
+
+
+@query(r"SELECT page_id, regexp_matches(url, '(?i)^(?:https?|ftps?|hxxps?|fxps?)://|^www\d{0,3}\.') AS is_web FROM pages")
+def web_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", X.is_web_link(F.col("url")).alias("is_web"))
+
+
+_UNESCAPE = "replace(replace(replace(replace({0}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+_VISIBLE = r"regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')"
+
+
+@query(f"SELECT page_id, sha256({_collapsed(_UNESCAPE.format(_VISIBLE))}) AS text_sha, length({_collapsed(_UNESCAPE.format(_VISIBLE))}) AS n FROM pages")
+def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = table(spark, sf_dir, "pages").select("page_id", X.collapse(X.html_text(F.col("html"))).alias("t"))
+    return text.select("page_id", F.sha2("t", 256).alias("text_sha"), F.length("t").alias("n"))
+
+
+_ATTR = r"(?i)\b(?:href|src|action)\s*=\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\s>]+))"
+
+
+@query(f"""
+WITH l AS (SELECT page_id, unnest(list_transform(list_zip(regexp_extract_all(html, '{_ATTR}', 1), regexp_extract_all(html, '{_ATTR}', 2), regexp_extract_all(html, '{_ATTR}', 3)),
+           lambda x: trim(coalesce(nullif(x[1], ''), nullif(x[2], ''), nullif(x[3], ''), '')))) AS link FROM pages)
+SELECT page_id, link, count(*) AS n FROM l WHERE link <> '' GROUP BY ALL
+""")
+def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", F.explode(X.html_links(F.col("html"))).alias("link"))
+    return found.groupBy("page_id", "link").agg(F.count("*").alias("n"))
+
+
+# ---- scrubbing -----------------------------------------------------------------------------------------------------
+
+_MARKED = "text || ' <b class=\"x\">bold</b> .cls-a { color: red } WIDTH : 30px; <a <b>> ' || repeat('QUJD', 20) || '== end'"
+
+
+def _sql_chain(x: str, *patterns: str) -> str:
+    for p in patterns:
+        x = f"regexp_replace({x}, '{p}', ' ', 'g')"
+    return x
+
+
+_MARKUP = (
+    "[A-Za-z0-9+/]{50,}={0,2}",
+    rf"[.#]?[A-Za-z](?:{_W}|-)*{_S}*\{{[^{{}}]{{0,600}}\}}",
+    "<[^<>]{0,400}>",
+    "<[^<>]{0,400}>",
+    rf"(?i)\b[a-z](?:{_W}|-)*{_S}*={_S}*\"[^\"]{{0,200}}\"",
+    rf"(?i)\b(?:{'|'.join(X.CSS_PROPERTIES)}){_S}*[:=]{_S}*[^;{{}}\n,\"]{{0,40}};?",
+)
+
+
+@query(f"SELECT doc_id, sha256({_sql_chain(_MARKED, *_MARKUP)}) AS t FROM documents")
+def residual_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = F.concat("text", F.lit(' <b class="x">bold</b> .cls-a { color: red } WIDTH : 30px; <a <b>> '), F.repeat(F.lit("QUJD"), 20), F.lit("== end"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.strip_residual_markup(marked), 256).alias("t"))
+
+
+_QUOTED = "text || chr(10) || '> From: a@b' || chr(10) || 'On Monday, Bob wrote: ' || chr(10) || '-- Original Message --' || chr(10) || 'Subject: x' || chr(10) || '  X-Mine : y' || chr(10) || 'not forwarded by me' || chr(10) || '______' || chr(10) || '-- forwarded message -- z' || chr(10) || 'end'"
+_DELIVERY = (
+    rf"(?im)^[ \t>|]*-+{_S}*original message{_S}*-+.*$",
+    r"(?im)^.*\bforwarded by\b.*$",
+    rf"(?im)^[ \t>|]*-+{_S}*forwarded message{_S}*-+.*$",
+    r"(?im)^[ \t>|]*on\b.{0,200}\bwrote:[ \t]*$",
+    r"(?m)^_{5,}[ \t]*$",
+    rf"(?im)^[ \t>|]*(?:{'|'.join(X.QUOTED_HEADERS)}|x-(?:{_W}|-)+)[ \t]*:.*$",
+)
+
+
+@query(f"SELECT doc_id, sha256({_sql_chain(_QUOTED, *_DELIVERY)}) AS t FROM documents")
+def delivery_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quoted = F.concat("text", F.lit("\n> From: a@b\nOn Monday, Bob wrote: \n-- Original Message --\nSubject: x\n  X-Mine : y\nnot forwarded by me\n______\n-- forwarded message -- z\nend"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.strip_delivery_artifacts(quoted), 256).alias("t"))
+
+
+_TOKENS = (rf"(?i)\b(?:{'|'.join(d.replace('.', chr(92) + '.') for d in X.CORPUS_DOMAINS)})\b", rf"(?i)\b(?:{'|'.join(X.CORPUS_TOKENS)})\b")
+_TOLD = "text || ' mail bob@enron.com at Enron/ECT, houses, HOU; lists.sourceforge.net razor-agents'"
+
+
+@query(f"SELECT doc_id, sha256({_sql_chain(_TOLD, *_TOKENS)}) AS t FROM documents")
+def token_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = F.concat("text", F.lit(" mail bob@enron.com at Enron/ECT, houses, HOU; lists.sourceforge.net razor-agents"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.scrub_tokens(told), 256).alias("t"))
+
+
+_BODY = "text || ' see https://x.example/' || doc_id || ' &amp;lt;b&amp;gt; &quot;q&quot; <i>it</i>' || chr(10) || 'Subject: gone' || chr(10) || 'ect'"
+_ONCE = "replace(replace({0}, '&quot;', '\"'), '&amp;', '&')"
+
+
+def _sql_normal(body: str, tokens: bool = True) -> str:
+    return _collapsed(_sql_chain(_ONCE.format(_sql_strip_urls(body)), *_MARKUP, *_DELIVERY, *(_TOKENS if tokens else ())))
+
+
+@query(f"SELECT doc_id, sha256({_sql_normal(_BODY)}) AS training, sha256({_sql_normal(_BODY, False)}) AS runtime FROM documents")
+def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both twins of the normaliser: with and without the token scrub."""
+    body = F.concat("text", F.lit(" see https://x.example/"), F.col("doc_id").cast("string"), F.lit(' &amp;lt;b&amp;gt; &quot;q&quot; <i>it</i>\nSubject: gone\nect'))
+    docs = table(spark, sf_dir, "documents").select("doc_id", body.alias("b"))
+    return docs.select("doc_id", F.sha2(X.normalize(F.col("b")), 256).alias("training"), F.sha2(X.normalize(F.col("b"), tokens=False), 256).alias("runtime"))
+
+
+# ---- subjects, threads, senders, shingles --------------------------------------------------------------------------
+
+_PREFIX = r"(?i)^(?:\s*(?:re|fwd?|aw|wg|sv|vs|rv|rif|tr|fyi)\s*(?:\[\d+\])?\s*:\s*)+"
+_SUBJECT_SQL = "CASE WHEN turn = 0 THEN '' WHEN turn = 1 THEN 'Re: ' ELSE ' FWD: re[' || turn || '] : ' END || 'Topic  of ' || conv_id"
+
+
+def _subject() -> Column:
+    lead = F.when(F.col("turn") == 0, "").when(F.col("turn") == 1, "Re: ").otherwise(F.concat(F.lit(" FWD: re["), F.col("turn").cast("string"), F.lit("] : ")))
+    return F.concat(lead, F.lit("Topic  of "), F.col("conv_id").cast("string"))
+
+
+@query(f"""
+SELECT conv_id, turn, {_collapsed(f"lower(regexp_replace(s, '{_PREFIX}', ''))")} AS subject, regexp_matches(s, '{_PREFIX}') AS is_reply
+FROM (SELECT conv_id, turn, {_SUBJECT_SQL} AS s FROM conversations)
+""")
+def subject_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _subject()
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.normalize_subject(s).alias("subject"), X.is_reply(s).alias("is_reply"))
+
+
+def _mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record for each turn of a conversation: ids, headers and sender."""
+    c, t = F.col("conv_id").cast("string"), F.col("turn").cast("string")
+    mid = lambda turn: F.concat(F.lit("<c"), c, F.lit(".t"), turn, F.lit("@mail.example>"))
+    return table(spark, sf_dir, "conversations").select(
+        F.concat(c, F.lit("."), t).alias("id"),
+        "conv_id",
+        "turn",
+        "role",
+        "text",
+        mid(t).alias("message_id"),
+        F.when(F.col("turn") > 0, mid((F.col("turn") - 1).cast("string"))).alias("in_reply_to"),
+        F.when(F.col("turn") > 1, F.concat(mid(F.lit("0")), F.lit(" "), mid(F.lit("1")))).alias("references"),
+        _subject().alias("subject"),
+        F.concat(F.lit('"'), F.col("role"), F.lit(', the" <'), F.initcap("role"), F.lit("@C"), c, F.lit(".example>")).alias("from"),
+        F.concat(F.col("role"), F.lit("@c"), c, F.lit(".example")).alias("sender"),
+    )
+
+
+@query(f"""
+WITH m AS (SELECT conv_id, turn, ['mid:<c' || conv_id || '.t' || turn || '@mail.example>']
+  || CASE WHEN turn > 0 THEN ['mid:<c' || conv_id || '.t' || (turn - 1) || '@mail.example>'] ELSE [] END
+  || CASE WHEN turn > 1 THEN ['mid:<c' || conv_id || '.t0@mail.example>', 'mid:<c' || conv_id || '.t1@mail.example>'] ELSE [] END
+  || CASE WHEN turn > 0 THEN ['subj:topic of ' || conv_id] ELSE [] END AS ks FROM conversations)
+SELECT conv_id, turn, unnest(ks) AS thread_key FROM m
+""")
+def thread_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = X.thread_keys(F.col("message_id"), F.col("in_reply_to"), F.col("references"), F.col("subject"))
+    return _mails(spark, sf_dir).select("conv_id", "turn", F.explode(keys).alias("thread_key"))
+
+
+def _raw(mails: DataFrame) -> DataFrame:
+    """Each record as a raw message."""
+    nl = F.lit("\n")
+    lines = [
+        F.concat(F.lit("From: "), "from"),
+        F.concat(F.lit("Subject: "), "subject"),
+        F.concat(F.lit("Message-ID: "), "message_id"),
+        F.lit("Authentication-Results: mx;\n spf=pass"),
+        F.concat(F.lit("Authentication-Results: dkim="), "role"),
+        F.lit("MIME-Version: 1.0\nContent-Type: multipart/mixed; boundary=B"),
+    ]
+    head = F.concat_ws("\n", *lines, F.concat(F.lit("In-Reply-To: "), "in_reply_to"), F.concat(F.lit("References: "), "references"))
+    link = F.concat(F.lit("\nhttps://mail.example/"), F.col("id"))
+    plain = F.concat(F.lit("--B\nContent-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: 8bit\n\n"), "text", link, nl)
+    file = F.concat(F.lit("--B\nContent-Type: application/x-notes\nContent-Disposition: attachment; filename=\"n.txt\"\nContent-Transfer-Encoding: base64\n\n"), F.base64(F.encode("text", "utf-8")), nl)
+    return mails.withColumn("message", F.encode(F.concat(head, F.lit("\n\n"), plain, file, F.lit("--B--\n")), "utf-8"))
+
+
+@query("SELECT conv_id, turn, role || '@c' || conv_id || '.example' AS sender FROM conversations")
+def sender_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = mime.parse_messages(_raw(_mails(spark, sf_dir)).select("conv_id", "turn", "message"))
+    return parsed.select("conv_id", "turn", F.col("parsed.sender").alias("sender"))
+
+
+_TEXT_SQL = _collapsed(_sql_chain("text", *_MARKUP, *_DELIVERY))
 
-def _ws_normalize_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    text = F.trim(F.regexp_replace("text", r"(?U)[\s\x1c-\x1f]+", " "))
-    return docs.select("doc_id", F.sha2(text, 256).alias("id"), F.length(text).alias("n_chars"))
 
+@query(f"""
+SELECT conv_id, turn, sha256({_TEXT_SQL}) AS text_sha, {_collapsed(_SUBJECT_SQL)} AS subject, '<c' || conv_id || '.t' || turn || '@mail.example>' AS message_id,
+       CASE WHEN turn > 0 THEN '<c' || conv_id || '.t' || (turn - 1) || '@mail.example>' END AS in_reply_to
+FROM conversations
+""")
+def mime_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = mime.parse_messages(_raw(_mails(spark, sf_dir)).select("conv_id", "turn", "message"))
+    rec = mime.epi_record(parsed)
+    return rec.select("conv_id", "turn", F.sha2("text", 256).alias("text_sha"), "subject", "message_id", "in_reply_to")
 
-QUERIES["ws_normalize_hash"] = _ws_normalize_hash
-ORACLE["ws_normalize_hash"] = r"""
-WITH t AS (SELECT doc_id, trim(regexp_replace(text, '[\s\x0b\x1c-\x1f\x85\p{Z}]+', ' ', 'g')) AS x FROM documents)
-SELECT doc_id, sha256(x) AS id, length(x) AS n_chars FROM t
+
+@query(f"""
+SELECT conv_id || '.' || turn AS id, sha256({_TEXT_SQL}) AS text_sha, ['https://mail.example/' || conv_id || '.' || turn] AS urls, true AS has_url, false AS has_qr, true AS has_attachment,
+       'mx; spf=pass | dkim=' || role AS auth_results
+FROM conversations
+""")
+def runtime_epi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = mime.parse_messages(_raw(_mails(spark, sf_dir)).select(F.col("id").alias("key"), "message"))
+    rec = mime.runtime_record(parsed, id=F.col("key"))
+    return rec.select("id", F.sha2("text", 256).alias("text_sha"), "urls", "has_url", "has_qr", "has_attachment", "auth_results")
+
+
+@query("SELECT conv_id, turn, 'mx; spf=pass | dkim=' || role AS auth_results FROM conversations")
+def auth_results_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = mime.parse_messages(_raw(_mails(spark, sf_dir)).select("conv_id", "turn", "message"))
+    return parsed.select("conv_id", "turn", mime.auth_results(F.col("parsed.auth")).alias("auth_results"))
+
+
+@query("SELECT conv_id, turn, 'n.txt' AS filename, 'application/x-notes' AS content_type, octet_length(encode(text)) AS size, sha256(text) AS sha256, md5(text) AS md5 FROM conversations")
+def attachments_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = mime.parse_messages(_raw(_mails(spark, sf_dir)).select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("id").alias("key"), "message"))
+    rec = mime.runtime_record(parsed, id=F.col("key")).select("id", F.inline("attachments"))
+    at = F.split("id", r"\.")
+    return rec.select(at[0].cast("long").alias("conv_id"), at[1].cast("long").alias("turn"), "filename", "content_type", "size", "sha256", "md5")
+
+
+@query(r"SELECT doc_id, len(regexp_extract_all(substr('Subject: ' || lang || chr(10) || CASE WHEN source = 'src0' THEN 'To: ' ELSE 'To ' END || text, 1, 4096), '(?m)^[A-Za-z][A-Za-z0-9-]{0,40}:[ \t]')) >= 2 AS is_mail FROM documents")
+def looks_like_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spiked = F.concat(F.lit("Subject: "), "lang", F.lit("\n"), F.when(F.col("source") == "src0", "To: ").otherwise("To "), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", X.looks_like_email(spiked).alias("is_mail"))
+
+
+@query("SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS ord, '<c' || conv_id || '.t' || turn || '@mail.example>' AS message_id FROM conversations")
+def mbox_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation as a mailbox, taken apart again. A mailbox is a file, and a file is one task's."""
+    mails = _raw(_mails(spark, sf_dir)).select("conv_id", "turn", F.concat(F.lit("From x@y Mon Jan 01 00:00:00 2024\n"), F.decode("message", "utf-8"), F.lit("\n")).alias("m"))
+    boxes = mails.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "m"))), lambda x: x["m"]), "").alias("b"))
+    found = mime.explode_messages(boxes.select("conv_id", F.lit("a.mbox").alias("path"), F.encode("b", "utf-8").alias("content")))
+    return mime.parse_messages(found).select("conv_id", "ord", F.col("parsed.message_id").alias("message_id"))
+
+
+_SHINGLES = f"""
+w AS (SELECT doc_id, regexp_extract_all(lower(text), '{_W}+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) ELSE w END) AS s FROM w))
+"""
+
+
+@query(f"WITH {_SHINGLES} SELECT doc_id, s AS shingle FROM sh")
+def shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(X.shingles(F.col("text"))).alias("shingle"))
+
+
+_PAIRS = f"""
+{_SHINGLES}, n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_common FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+pairs AS (SELECT a, b, n_common, n_common / CAST(na.n + nb.n - n_common AS DOUBLE) AS jaccard FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE n_common / CAST(na.n + nb.n - n_common AS DOUBLE) >= 0.8)
+"""
+
+
+@query(f"WITH {_PAIRS} SELECT a, b, CAST(n_common AS INTEGER) AS n_common, jaccard FROM pairs")
+def near_pairs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.near_pairs(table(spark, sf_dir, "documents"), key="doc_id")
+
+
+_CLUSTERS = f"""
+WITH RECURSIVE {_PAIRS},
+bth AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach AS (SELECT a AS node, b AS to_ FROM bth UNION SELECT r.node, e.b FROM reach r JOIN bth e ON r.to_ = e.a),
+comp AS (SELECT node, least(node, min(to_)) AS cluster FROM reach GROUP BY node),
+cl AS (SELECT d.doc_id, coalesce(cluster, d.doc_id) AS cluster FROM documents d LEFT JOIN comp ON node = d.doc_id)
+"""
+
+
+@query(f"{_CLUSTERS} SELECT doc_id, cluster FROM cl")
+def near_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.near_clusters(table(spark, sf_dir, "documents"), key="doc_id", method="exact")
+
+
+@query(f"{_CLUSTERS} SELECT cluster, count(*) AS n FROM cl GROUP BY cluster HAVING count(*) > 1")
+def near_cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.cluster_sizes(near_clusters(spark, sf_dir))
+
+
+@query(f"{_CLUSTERS}, z AS (SELECT count(*) AS n FROM cl GROUP BY cluster HAVING count(*) > 1) SELECT n FROM z ORDER BY n DESC LIMIT 5")
+def near_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.largest(near_cluster_sizes(spark, sf_dir))
+
+
+@query(f"{_CLUSTERS} SELECT doc_id, cluster FROM cl QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY doc_id) <= 2")
+def near_thin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.thin(near_clusters(spark, sf_dir), "cluster", 2, "doc_id")
+
+
+@query()
+def near_lsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By chance, so without SQL: tests compare it with the exact pairs."""
+    return similarity.near_clusters(table(spark, sf_dir, "documents"), key="doc_id", method="lsh")
+
+
+# ---- components and splits -----------------------------------------------------------------------------------------
+
+
+@query("""
+WITH RECURSIVE n AS (SELECT n_nationkey AS k, n_regionkey AS r FROM nation), e AS (SELECT x.k AS a, y.k AS b FROM n x JOIN n y ON x.r = y.r AND x.k <> y.k),
+reach AS (SELECT a AS node, b AS t FROM e UNION SELECT r.node, e.b FROM reach r JOIN e ON r.t = e.a)
+SELECT 'n' || node AS node, least(min('n' || t), 'n' || node) AS component FROM reach GROUP BY node
+UNION ALL SELECT 'r' || r, min('n' || k) FROM n GROUP BY r
+""")
+def components_of_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations hang together by their region's node."""
+    nation = table(spark, sf_dir, "nation")
+    edges = nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("src"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("dst"))
+    return graph.connected_components(edges)
+
+
+@query("SELECT conv_id || '.' || turn AS id, min('addr:' || role || '@c' || conv_id || '.example') OVER (PARTITION BY conv_id) AS component FROM conversations")
+def leak_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails of a conversation hang together by thread keys and senders; the smallest node is an address."""
+    mails = _mails(spark, sf_dir)
+    return split.leak_components(mails, split.leak_edges(mails))
+
+
+_MODES = """
+j AS (SELECT d.source, d.lang, l.quality FROM documents d JOIN labels l USING (doc_id)),
+ml AS (SELECT source, lang FROM (SELECT source, lang, count(*) AS n FROM j GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) = 1),
+mq AS (SELECT source, quality FROM (SELECT source, quality, count(*) AS n FROM j GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, quality) = 1)
+"""
+
+
+@query(f"WITH {_MODES} SELECT source, ml.lang, mq.quality, (SELECT count(DISTINCT quality) > 1 FROM j WHERE j.source = ml.source) AS mixed FROM ml JOIN mq USING (source)")
+def component_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return rows.groupBy("source").agg(split.dominant("lang").alias("lang"), split.dominant("quality").alias("quality"), (F.count_distinct("quality") > 1).alias("mixed"))
+
+
+_GROUPS = f"""
+d AS ({_IDS}), g AS (SELECT id, min(doc_id) AS canonical, count(*) AS size FROM d GROUP BY id),
+gl AS (SELECT id, lang FROM (SELECT id, lang, count(*) AS n FROM d GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, lang) = 1),
+gs AS (SELECT id, source FROM (SELECT id, source, count(*) AS n FROM d GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, source) = 1),
+r AS (SELECT id, canonical, size, lang, source, row_number() OVER w AS rn, count(*) OVER p AS n, CAST(sum(size) OVER p AS DOUBLE) AS total
+      FROM g JOIN gl USING (id) JOIN gs USING (id) WINDOW p AS (PARTITION BY lang, source), w AS (PARTITION BY lang, source ORDER BY size DESC, canonical)),
+f AS (SELECT lang, source, 0 AS rn, any_value(n) AS n, any_value(total) AS total, 0.0::DOUBLE AS tr,
+             CASE WHEN any_value(n) >= 3 THEN sum(size) FILTER (rn = n - 1)::DOUBLE ELSE 0.0::DOUBLE END AS va,
+             CASE WHEN any_value(n) >= 2 THEN sum(size) FILTER (rn = n)::DOUBLE ELSE 0.0::DOUBLE END AS te, '' AS s FROM r GROUP BY lang, source),
+fold AS (SELECT * FROM f UNION ALL
+  SELECT lang, source, rn, n, total, tr + CASE WHEN pick = 'train' THEN size ELSE 0 END, va + CASE WHEN pick = 'val' THEN size ELSE 0 END, te + CASE WHEN pick = 'test' THEN size ELSE 0 END, pick
+  FROM (SELECT o.lang, o.source, r.rn, o.n, o.total, o.tr, o.va, o.te, r.size::DOUBLE AS size,
+               CASE WHEN lt >= lv AND lt >= le THEN 'train' WHEN lv >= le THEN 'val' ELSE 'test' END AS pick
+        FROM (SELECT *, total * (1.0::DOUBLE - 0.1::DOUBLE - 0.1::DOUBLE) - tr AS lt, total * 0.1::DOUBLE - va AS lv, total * 0.1::DOUBLE - te AS le FROM fold) o
+        JOIN r ON r.lang = o.lang AND r.source = o.source AND r.rn = o.rn + 1
+        WHERE r.rn <= CASE WHEN o.n >= 3 THEN o.n - 2 WHEN o.n = 2 THEN 1 ELSE o.n END)),
+placed AS (SELECT r.id, r.canonical, r.size, r.lang, r.source, coalesce(fold.s, CASE WHEN r.n >= 3 AND r.rn = r.n - 1 THEN 'val' ELSE 'test' END) AS split
+           FROM r LEFT JOIN fold ON fold.lang = r.lang AND fold.source = r.source AND fold.rn = r.rn AND fold.rn > 0)
 """
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_id(spark, sf_dir)
+    groups = docs.groupBy("id").agg(F.min("doc_id").alias("canonical"), F.count("*").alias("size"), split.dominant("lang").alias("lang"), split.dominant("source").alias("source"))
+    return split.assign_splits(groups, ["lang", "source"])
+
+
+@query(f"WITH RECURSIVE {_GROUPS} SELECT canonical, size, lang, source, split FROM placed")
+def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(spark, sf_dir).select("canonical", "size", "lang", "source", "split")
+
+
+@query(f"WITH RECURSIVE {_GROUPS} SELECT count(*) AS n_leaked FROM (SELECT d.id FROM d JOIN placed USING (id) GROUP BY d.id HAVING count(DISTINCT split) > 1)")
+def split_leak_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _with_id(spark, sf_dir).select("id").join(_placed(spark, sf_dir).select("id", "split"), "id")
+    return split.leaked_clusters(rows, cluster="id").agg(F.count("*").alias("n_leaked"))
+
+
+# ---- statistics ----------------------------------------------------------------------------------------------------
+
+_SPLIT_SQL = "CASE WHEN n_chars < 600 THEN 'test' WHEN n_chars < 1200 THEN 'val' ELSE 'train' END"
+
+
+def _split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.when(F.col("n_chars") < 600, "test").when(F.col("n_chars") < 1200, "val").otherwise("train")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", F.col("lang").alias("label"), part.alias("split"))
+
+
+_SPLIT_DOCS = f"WITH t AS (SELECT doc_id, source, lang AS label, {_SPLIT_SQL} AS split FROM documents)"
+
+
+@query(f"{_SPLIT_DOCS} SELECT label, source, split, CAST(grouping(label, source, split) AS BIGINT) AS grouping_id, count(*) AS n FROM t GROUP BY GROUPING SETS ((source), (label), (split), (source, split), (source, label, split))")
+def grouping_sets_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.grouped_counts(_split_docs(spark, sf_dir))
+
+
+@query(f"""
+{_SPLIT_DOCS} SELECT source, label, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test, count(*) AS total
+FROM t GROUP BY GROUPING SETS ((source, label), ())
+""")
+def split_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.split_table(_split_docs(spark, sf_dir))
+
+
+@query(f"{_SPLIT_DOCS} SELECT split, count(*) AS n, 100 * count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS percent FROM t GROUP BY split")
+def split_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.split_shares(_split_docs(spark, sf_dir))
+
+
+@query(f"{_SPLIT_DOCS} SELECT split, count(*) AS n FROM t JOIN labels USING (doc_id) WHERE quality = 0 GROUP BY split")
+def conditional_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _split_docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id").withColumn("hard", F.col("quality") == 0)
+    return stats.hard_by_split(rows, "hard")
+
+
+@query("SELECT count(*) AS n, avg(length(text)) AS mean, CAST(median(length(text)) AS DOUBLE) AS median FROM documents WHERE source IS DISTINCT FROM 'src1' AND text <> ''")
+def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where(~F.col("source").eqNullSafe(F.lit("src1")) & (F.col("text") != ""))
+    return stats.length_summary(docs.select(F.length("text").alias("n")))
+
+
+_CLASSES = ", ".join(f"('{c}', '{label}')" for c, label in CLASS_LABELS.items())
+
+
+@query(f"""
+WITH c(class, label) AS (VALUES {_CLASSES}), o AS (SELECT CASE role WHEN 'user' THEN 'ham' WHEN 'assistant' THEN 'bec' ELSE 'qr' END AS class, turn > 0 AS ok FROM conversations)
+SELECT c.class, label, count(o.class) AS generated, count(*) FILTER (ok) AS accepted FROM c LEFT JOIN o ON o.class = c.class GROUP BY ALL
+""")
+def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = spark.createDataFrame(list(CLASS_LABELS.items()), "class string, label string")
+    kind = F.when(F.col("role") == "user", "ham").when(F.col("role") == "assistant", "bec").otherwise("qr")
+    rows = table(spark, sf_dir, "conversations").select(kind.alias("class"), F.when(F.col("turn") > 0, "accepted").otherwise("dropped").alias("status"))
+    return stats.class_counts(classes, rows)
+
+
+@query(r"""
+WITH m AS (SELECT event_type || ' failed with ' || CASE WHEN value < 20 THEN '429 (slow)' WHEN value < 50 THEN 'HTTP 503' ELSE 'x5031' END AS s FROM events)
+SELECT TRY_CAST(nullif(regexp_extract(s, '\b[45]\d{2}\b'), '') AS INTEGER) AS code, count(*) AS n FROM m GROUP BY 1
+""")
+def error_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("value") < 20, "429 (slow)").when(F.col("value") < 50, "HTTP 503").otherwise("x5031")
+    return stats.error_histogram(table(spark, sf_dir, "events").select(F.concat("event_type", F.lit(" failed with "), code).alias("message")))
+
+
+@query("SELECT conv_id, turn, sha256(trim(text, ' ' || chr(10))) AS t FROM conversations")
+def fence_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fenced = F.when(F.col("turn") == 0, F.col("text")).otherwise(F.concat(F.lit("```eml\n"), "text", F.lit("\n```\n")))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(X.strip_fences(fenced), 256).alias("t"))
+
+
+_LABELS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SOURCE_LABELS.items())
+_SOURCE_OF = "CASE source WHEN 'src0' THEN 'enron' WHEN 'src1' THEN 'nazario' WHEN 'src2' THEN 'spamassassin' WHEN 'src3' THEN 'phishing_pot' ELSE source END"
+
+
+@query(f"SELECT s AS source, label, count(*) AS n FROM (SELECT {_SOURCE_OF} AS s, CASE {_SOURCE_OF} {_LABELS} END AS label FROM documents) WHERE label IS NOT NULL GROUP BY ALL")
+def source_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of known sources under their labels; others are left out."""
+    named = F.col("source")
+    for old, new in (("src0", "enron"), ("src1", "nazario"), ("src2", "spamassassin"), ("src3", "phishing_pot")):
+        named = F.when(F.col("source") == old, new).otherwise(named)
+    labels = spark.createDataFrame(list(SOURCE_LABELS.items()), "source string, label string")
+    docs = table(spark, sf_dir, "documents").select(named.alias("source"))
+    return docs.join(F.broadcast(labels), "source").groupBy("source", "label").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS id, sha256(text) AS text, lang AS label, source, CAST(NULL AS VARCHAR) AS subject FROM documents
+UNION ALL SELECT conv_id || '.' || turn, sha256(text), NULL, 'synthetic', 'Topic ' || conv_id FROM conversations
+""")
+def schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of fewer and of more fields in one dataset."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.sha2("text", 256).alias("text"), F.col("lang").alias("label"), "source")
+    more = _mails(spark, sf_dir).select("id", F.sha2("text", 256).alias("text"), F.lit("synthetic").alias("source"), F.concat(F.lit("Topic "), F.col("conv_id").cast("string")).alias("subject"))
+    return docs.unionByName(more, allowMissingColumns=True)
+
+
+@query("SELECT split, source, doc_id FROM (SELECT doc_id, source, " + _SPLIT_SQL + " AS split FROM documents)")
+def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_docs(spark, sf_dir).select("split", "source", "doc_id").orderBy("split", "source", "doc_id")
+
+
+@query("SELECT turn, conv_id, to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'label': NULL}) AS json FROM conversations")
+def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as JSON texts with explicit nulls."""
+    row = F.struct("conv_id", "turn", "role", F.lit(None).cast("string").alias("label"))
+    return table(spark, sf_dir, "conversations").select("turn", "conv_id", F.to_json(row, {"ignoreNullFields": "false"}).alias("json"))
