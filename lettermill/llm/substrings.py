@@ -5,7 +5,8 @@ recur have anchors that recur, and anchors are few. Anchors are counted over all
 anchor that recurs are cut out as segments and dealt out by anchor, equal ones as one. Where they meet, windows found
 in two documents or more are confirmed word by word and compiled into Aho-Corasick automata, a shard of anchors at a
 time, and all segments of the shard are streamed through to locate every occurrence, with the first document that has
-it. An anchor with very many different segments is dealt out by single windows instead.
+it. An anchor with very many segments is dealt out by single windows instead. Words travel as 32-bit codes: windows
+that differ in one word only are taken for equal once in 2^32.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from .bloom import Bloom, of_column
 WINDOW = 13
 GRAM = 5
 LOG_BITS = 26
-#: Different segments of an anchor beyond which it is dealt out by window.
+#: Segments of an anchor beyond which it is dealt out by window.
 HOT = 5000
 #: Segments that are compiled and streamed together.
 SHARD = 10_000
@@ -49,6 +50,8 @@ class Anchors:
             whole = at[span - 1 :] - at[: len(at) - span + 1] == span - 1
             self.value, self.at = least[whole], at[: len(at) - span + 1][whole]
         self.words = w
+        #: 32 bits for each word; thirteen in a row tell windows apart
+        self.codes = (h >> np.uint64(32)).astype(np.uint32)
         self.row = w.text_of()[self.at] if len(self.at) else self.at
         # a hash of each text's words in their order
         mixed = h * places(int(w.counts.max(initial=0)) or 1, 9)[np.arange(len(h)) - np.repeat(w.first[:-1], w.counts)]
@@ -82,13 +85,15 @@ def _segments(shared, window: int, gram: int, log_bits: int):
                 hit = bloom.has(a.value[lead])
                 lead, tail = lead[hit], tail[hit]
                 first, last = a.at[lead], a.at[tail] + window - 1
-                raw = w.data.tobytes()
-                text = [b" ".join(raw[s:e].split()) for s, e in zip(w.starts[first].tolist(), w.ends[last].tolist(), strict=True)]
+                n = last - first + 1
+                ends = np.cumsum(n)
+                codes = a.codes[np.arange(int(n.sum())) - np.repeat(ends - n, n) + np.repeat(first, n)]
+                offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
                 row = a.row[lead]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(a.value[lead])),
-                        pa.array(text, pa.binary()).cast(pa.string()),
+                        pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(codes))]),
                         part.column("doc").take(pa.array(row)),
                         pa.array(signed(a.text[row])),
                         pa.array((first - w.first[row]).astype(np.int32)),
@@ -99,17 +104,20 @@ def _segments(shared, window: int, gram: int, log_bits: int):
     return run
 
 
-def locate(segments: list[tuple[str, int, int]], window: int) -> list[tuple[list[int], list[int]]]:
-    """For each (words, first document, last document): the places of windows that some document has before the
-    segment's last one, and for each the first document that has it."""
+def locate(segments: list[tuple[int, bytes, int, int]], window: int) -> list[tuple[list[int], list[int]]]:
+    """For each (anchor, word codes, first document, last document): the places of windows that some document has
+    before the segment's last one, and for each the first document that has it. Segments of an anchor stand together,
+    and no window has two anchors: a segment alone under its anchor needs no search."""
     import ahocorasick
 
-    number: dict[str, int] = {}
-    coded = [tuple([number.setdefault(w, len(number)) for w in words.split(" ")]) for words, _, _ in segments]
+    alone = [
+        (i == 0 or segments[i - 1][0] != s[0]) and (i + 1 == len(segments) or segments[i + 1][0] != s[0]) for i, s in enumerate(segments)
+    ]
+    coded = [None if lone else tuple(np.frombuffer(s[1], np.uint32).tolist()) for s, lone in zip(segments, alone, strict=True)]
     firsts: dict[tuple, int] = {}
     lasts: dict[tuple, int] = {}
-    for ids, (_, first, last) in zip(coded, segments, strict=True):
-        for k in range(len(ids) - window + 1):
+    for ids, (_, _, first, last) in zip(coded, segments, strict=True):
+        for k in range(len(ids) - window + 1 if ids else 0):
             win = ids[k : k + window]
             if (f := firsts.get(win)) is None:
                 firsts[win], lasts[win] = first, last
@@ -122,13 +130,16 @@ def locate(segments: list[tuple[str, int, int]], window: int) -> list[tuple[list
     for win, first in firsts.items():
         if first < lasts[win]:
             automaton.add_word(win, first)
-    if not len(automaton):
-        return [([], [])] * len(segments)
-    automaton.make_automaton()
+    if len(automaton):
+        automaton.make_automaton()
     out = []
-    for ids, (_, _, last) in zip(coded, segments, strict=True):
-        found = [(end - window + 1, first) for end, first in automaton.iter(ids) if first < last]
-        out.append(([x[0] for x in found], [x[1] for x in found]))
+    for ids, (_, codes, first, last) in zip(coded, segments, strict=True):
+        if ids is None:
+            n = len(codes) // 4 - window + 1 if first < last else 0
+            out.append((list(range(n)), [first] * n))
+        else:
+            found = [(end - window + 1, f) for end, f in automaton.iter(ids) if f < last] if len(automaton) else []
+            out.append(([x[0] for x in found], [x[1] for x in found]))
     return out
 
 
@@ -140,7 +151,7 @@ def _locate(window: int, shard: int):
         held: list[tuple] = []
 
         def flush(rows: list[tuple]) -> pa.RecordBatch:
-            found = locate([r[2:] for r in rows], window)
+            found = locate([(r[0], *r[2:]) for r in rows], window)
             keep = [(r[0], r[1], p, f) for r, (p, f) in zip(rows, found, strict=True) if p]
             cols = list(zip(*keep, strict=True)) or [[], [], [], []]
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int32())), pa.array(cols[3], pa.list_(pa.int64()))], names=LOCATED.names)
@@ -212,22 +223,20 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM,
     again = pairs.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
     shared = spark.sparkContext.broadcast(of_column(again, "anchor", log_bits))
     schema = T.StructType(
-        [T.StructField("anchor", T.LongType()), T.StructField("words", T.StringType()), T.StructField("doc", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("start", T.IntegerType())]
+        [T.StructField("anchor", T.LongType()), T.StructField("words", T.BinaryType()), T.StructField("doc", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("start", T.IntegerType())]
     )
     segments = stored(known.mapInArrow(_segments(shared, window, gram, log_bits), schema).withColumn("key", F.xxhash64("words")))
 
     def distinct(rows: DataFrame) -> DataFrame:
         return rows.groupBy("anchor", "key", "words").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
 
-    crowded = segments.select("anchor", "key").distinct().groupBy("anchor").count().where(F.col("count") > hot).select("anchor")
-    crowded = stored(crowded)
+    crowded = stored(segments.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"))
     if crowded.limit(1).count():
         busy = segments.join(crowded, "anchor", "left_semi")
-        w = F.split("words", " ", -1)
-        wins = F.transform(F.sequence(F.lit(0), F.size(w) - window), lambda k: F.struct(k.alias("k"), F.array_join(F.slice(w, k + 1, window), " ").alias("words")))
+        wins = F.transform(F.sequence(F.lit(0), (F.octet_length("words") / 4).cast("int") - window), lambda k: F.struct(k.alias("k"), F.substring(F.col("words"), k * 4 + 1, F.lit(4 * window)).alias("words")))
         busy = busy.select(F.inline(wins), "doc", "text_key", "start")
         busy = busy.select(F.xxhash64(F.lit(1), "words").alias("anchor"), "words", "doc", "text_key", (F.col("start") + F.col("k")).alias("start"), F.xxhash64("words").alias("key"))
-        segments = stored(segments.join(crowded, "anchor", "left_anti").select(busy.columns).union(busy))
+        segments = segments.join(crowded, "anchor", "left_anti").select(busy.columns).union(busy)
     # a segment that no two documents have, under an anchor of no other, has nothing to be found
     found = distinct(segments).repartition("anchor").sortWithinPartitions("anchor").select("anchor", "key", "words", "first", "last").mapInArrow(_locate(window, shard), LOCATED)
     here = segments.select("anchor", "key", "doc", "text_key", "start").join(found, ["anchor", "key"])
