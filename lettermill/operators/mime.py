@@ -74,7 +74,7 @@ def split_messages(raw: bytes | None, name: str = "") -> list[bytes]:
         return []
     at = [m.start() for m in SEPARATOR.finditer(raw)]
     if name.lower().endswith(".mbox") or (len(at) > 1 and at[0] == 0):
-        found = [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)]
+        found = [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=False)]  # none without a separator
     else:
         found = [raw]
     return [m for m in found if email_like(m)]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lettermill.functions.text import shingles
 from lettermill.operators.graph import connected_components
@@ -58,17 +60,17 @@ def lsh_bands(df: DataFrame, *, key: str = "id", text: str = "text", threshold:
     a = rng.integers(1, 1 << 63, permutations, dtype=np.uint64) | np.uint64(1)
     b = rng.integers(0, 1 << 63, permutations, dtype=np.uint64)
 
-    @F.pandas_udf("array<long>")
-    def signature(sets: pd.Series) -> pd.Series:
-        def one(s) -> np.ndarray:
-            h = np.asarray(s, np.int64).view(np.uint64)
-            least = np.array([((h * x + y) >> np.uint64(1)).min() for x, y in zip(a, b, strict=True)], np.uint64)
-            return least.view(np.int64)
-
-        return sets.map(one)
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch.column("s")
+            at = sets.offsets.to_numpy().astype(np.int64)
+            flat = sets.values.to_numpy().view(np.uint64)[at[0] : at[-1]]
+            least = np.stack([np.minimum.reduceat((flat * x + y) >> np.uint64(1), at[:-1] - at[0]) for x, y in zip(a, b, strict=True)], axis=1) if len(sets) else np.zeros((0, permutations), np.uint64)
+            whole = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * permutations), pa.array(least.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(key), whole], names=[key, "m"])
 
     hashed = df.select(F.col(key), F.transform(shingles(F.col(text), k), lambda s: F.xxhash64(s)).alias("s")).where("size(s) > 0")
-    signed = stored(hashed.select(key, signature("s").alias("m")))
+    signed = hashed.mapInArrow(signatures, T.StructType([df.schema[key], T.StructField("m", T.ArrayType(T.LongType()))]))
     parts = [F.xxhash64(F.lit(i), F.slice("m", 1 + i * rows, rows)) for i in range(bands)]
     return signed.select(key, F.explode(F.array(*parts)).alias("band"))
 
