@@ -240,4 +240,19 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_near_duplicates": op1_near_duplicates}
-ORACLE: dict[str, str] = {}
+_W = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+ORACLE = {
+    "op1_near_duplicates": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_W} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))
+                                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+bth AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT a AS node, b AS t FROM bth UNION SELECT r.node, bth.b FROM reach r JOIN bth ON r.t = bth.a),
+comp AS (SELECT node, least(node, min(t)) AS component FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id, w.doc_id = coalesce(component, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp ON comp.node = w.doc_id
+"""
+}
