@@ -40,7 +40,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 @query(f"WITH t AS (SELECT doc_id, {_collapsed('text')} AS x FROM documents) SELECT doc_id, sha256(x) AS id, length(x) AS n_chars FROM t")
 def ws_normalize_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = X.collapse(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", X.content_id(text).alias("id"), F.length(text).alias("n_chars"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.content_id(text).alias("id"), F.length(text).cast("long").alias("n_chars"))
 
 
 _IDS = f"SELECT *, sha256({_collapsed('text')}) AS id FROM documents"
@@ -154,7 +154,7 @@ _VISIBLE = r"regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<st
 @query(f"SELECT page_id, sha256({_collapsed(_UNESCAPE.format(_VISIBLE))}) AS text_sha, length({_collapsed(_UNESCAPE.format(_VISIBLE))}) AS n FROM pages")
 def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = table(spark, sf_dir, "pages").select("page_id", X.collapse(X.html_text(F.col("html"))).alias("t"))
-    return text.select("page_id", F.sha2("t", 256).alias("text_sha"), F.length("t").alias("n"))
+    return text.select("page_id", F.sha2("t", 256).alias("text_sha"), F.length("t").cast("long").alias("n"))
 
 
 _ATTR = r"(?i)\b(?:href|src|action)\s*=\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\s>]+))"
@@ -606,7 +606,7 @@ def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split_docs(spark, sf_dir).select("split", "source", "doc_id").orderBy("split", "source", "doc_id")
 
 
-@query("SELECT turn, conv_id, to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'label': NULL}) AS json FROM conversations")
+@query("SELECT turn, conv_id, CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'label': NULL}) AS VARCHAR) AS json FROM conversations")
 def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as JSON texts with explicit nulls."""
     row = F.struct("conv_id", "turn", "role", F.lit(None).cast("string").alias("label"))
