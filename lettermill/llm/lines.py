@@ -163,7 +163,8 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", min_chars: int = MIN_CH
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("doc", kind)])
     found = durable(pair.mapInArrow(_suspects(shared, min_chars, log_bits, None), schema))
-    repeated = found.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= min_docs)
+    # written, so that the join below has an exchange on either side, and a line of very many documents can be split
+    repeated = durable(found.groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= min_docs))
     drops = found.join(repeated, "key").where(F.col("doc") < F.col("keeper")).groupBy("doc").agg(F.collect_set("key").alias("__drop"))
     rows = docs.join(drops.withColumnRenamed("doc", "__doc").hint("shuffle_hash"), F.col(key) == F.col("__doc"), "left").drop("__doc")
     names = [c for c in docs.columns if keep_text or c != "text"]
