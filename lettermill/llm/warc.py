@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import range_cells, shared_dir, ship, shuffle_partitions, table
+from .base import durable, range_cells, shared_dir, ship, shuffle_partitions, table
 
 #: Compressed bytes after which a file is closed.
 ROLL_BYTES = 8 << 20
@@ -146,7 +146,7 @@ def write_warc(pages: DataFrame, folder: str, *, roll_bytes: int = ROLL_BYTES, r
     html = F.coalesce(F.col("html"), F.lit(""))
     key = (F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("n"))
     sums = pages.where(F.col("page_id").isNotNull() & (F.octet_length(html) >= revisit_bytes)).select("page_id", *key)
-    groups = sums.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    groups = durable(sums.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
     revisits = sums.join(groups, ["digest", "n"]).where("page_id < refers_to").select("page_id", "refers_to").distinct()
     cells = shuffle_partitions(spark)
     rows = pages.select("page_id", F.lit(None).cast("long").alias("refers_to"), "url", "html")
