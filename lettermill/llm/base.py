@@ -18,7 +18,7 @@ from lettermill.session import durable, shared_dir, ship, shuffle_partitions, st
 __all__ = ["durable", "shared_dir", "ship", "shuffle_partitions", "stored", "table"]
 
 #: Bytes of text that a kernel works on at once (one text at least).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def range_cells(df: DataFrame, key: str, cells: int) -> tuple[list, F.Column]:
