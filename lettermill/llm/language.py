@@ -191,10 +191,18 @@ class Model:
 
 def training_sample(docs: DataFrame, labelled: DataFrame, key: str, most_docs: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """(label, text) of at most most_docs whole documents and about most_bytes of text for each label, chosen by a hash
-    of the key. labelled: (key, label, n), n the bytes of the text. Ranks are cut before the shuffle, so no label's
-    rows meet in one task; texts are only read for the few that are chosen, whose ids are broadcast."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col(key)), F.col(key))
-    few = labelled.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= min(most_docs, 1000))
+    of the key. labelled: (key, label, n), n the bytes of the text. The smallest hashes are cut out by a threshold from
+    each label's count before rows of a label meet; texts are only read for the few that are chosen, whose ids are
+    broadcast."""
+    most_docs = min(most_docs, 1000)
+    u = F.shiftrightunsigned(F.xxhash64(F.col(key)), 1)
+    counts = labelled.groupBy("label").count().collect()  # a row for each label, as the model will have
+    if not counts:
+        return docs.select(F.lit(None).cast(labelled.schema["label"].dataType).alias("label"), "text").limit(0)
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1.0, (4.0 * most_docs + 100) / r["count"]))])
+    order = Window.partitionBy("label").orderBy("__u", F.col(key))
+    few = labelled.where(u <= F.lit(float(1 << 63)) * share[F.col("label")]).select(key, "label", "n", u.alias("__u"))
+    few = few.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= most_docs)
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     few = few.withColumn("__before", before).where(F.col("__before") < most_bytes).select(F.col(key).alias("__key"), "label")
     few = durable(few)
