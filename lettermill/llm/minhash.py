@@ -34,7 +34,7 @@ PERCENT = 80
 #: A pair at the threshold shares no band with probability (1 - 0.8^4)^32 = 5e-8.
 BANDS = SIZE // ROWS
 #: Texts that may have a shingle for it to count as rare.
-RARE = 4
+RARE = 10
 LOG_BITS = 26
 SEED = 29
 
@@ -163,7 +163,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHIN
     known = texts.where("digest is not null and doc is not null")
     classes = durable(known.groupBy("digest").agg(F.min("doc").alias("node"), F.min_by("bands", "doc").alias("bands")))
     spread = classes.select("node", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).where("pivot < most").drop("most")
+    # written, so that the join with it has an exchange on either side, and a band of very many texts can be split
+    shared = stored(spread.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).where("pivot < most").drop("most"))
     members = stored(spread.join(shared, "band"))
     nodes = members.select("node").distinct()
     component = _components(pair, members, nodes, shingle, percent, log_bits)
@@ -226,11 +227,14 @@ def _open_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     by_rare = near.join(other, "h").where("node < b and l <> lb").select(F.col("node").alias("a"), "b").distinct()
     size = sets.join(label.select("node"), "node", "left_semi").select("node", F.size("shingles").alias("n"))
     size = size.join(rare.groupBy("node").agg(F.count("*").alias("r")), "node", "left").select("node", F.col("n").cast("long").alias("n"), (F.col("n") - F.coalesce("r", F.lit(0))).alias("m"))
+    # a text is in one group for each of its bands at most; a pair is taken up in the first that both are in
+    size = size.join(group.groupBy("node").agg(F.collect_set("main").alias("mains")), "node")
     g = stored(group.join(size, "node"))
-    x = g.where("l <> main").select("main", F.col("node").alias("a"), F.col("l").alias("la"), F.col("n").alias("na"), F.col("m").alias("ma"))
+    x = g.where("l <> main").select("main", F.col("node").alias("a"), F.col("l").alias("la"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("mains").alias("mains_a"))
     # with s shared: 100 s >= percent (na + nb - s)
     may = F.least("ma", "m") * (100 + percent) >= (F.col("na") + F.col("n")) * percent
-    by_size = x.join(g, "main").where((F.col("la") != F.col("l")) & may).where((F.col("l") == F.col("main")) | (F.col("a") < F.col("node")))
+    once = F.array_min(F.array_intersect("mains_a", "mains")) == F.col("main")
+    by_size = x.join(g, "main").where((F.col("la") != F.col("l")) & may & once).where((F.col("l") == F.col("main")) | (F.col("a") < F.col("node")))
     by_size = by_size.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
     return by_rare.union(by_size).distinct()
 
