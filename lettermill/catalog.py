@@ -237,7 +237,8 @@ def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both twins of the normaliser: with and without the token scrub."""
     body = F.concat("text", F.lit(" see https://x.example/"), F.col("doc_id").cast("string"), F.lit(' &amp;lt;b&amp;gt; &quot;q&quot; <i>it</i>\nSubject: gone\nect'))
     docs = table(spark, sf_dir, "documents").select("doc_id", body.alias("b"))
-    return docs.select("doc_id", F.sha2(X.normalize(F.col("b")), 256).alias("training"), F.sha2(X.normalize(F.col("b"), tokens=False), 256).alias("runtime"))
+    docs = docs.select("doc_id", X.cleaned(F.col("b")).alias("c"))  # what both have in common, once
+    return docs.select("doc_id", F.sha2(X.collapse(X.scrub_tokens(F.col("c"))), 256).alias("training"), F.sha2(X.collapse(F.col("c")), 256).alias("runtime"))
 
 
 # ---- subjects, threads, senders, shingles --------------------------------------------------------------------------

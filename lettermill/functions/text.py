@@ -7,8 +7,9 @@ class leaves out, and word characters are letters, numbers and the underscore, w
 
 from __future__ import annotations
 
+import functools
 import html
-import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,31 +17,36 @@ from pyspark.sql import functions as F
 
 S = r"[\s\x1c-\x1f]"
 W = r"[\p{L}\p{N}_]"
+#: Word characters and the hyphen.
+H = r"[\p{L}\p{N}_-]"
 
-# URL forms, in text, spaced out, and at the start of a link.
-URL = r"(?dUi)(?:(?:https?|ftps?|hxxps?|fxps?)://|www\d{0,3}\.)[^\s\x1c-\x1f<>\"'`)\]}]+"
+# URL forms, in text, spaced out, and at the start of a link. Repeats are possessive: what follows one
+# never needs a character of it back, and Java's matcher then goes on without recursion, however long the text is.
+URL = r"(?dUi)(?:(?:https?|ftps?|hxxps?|fxps?)://|www\d{0,3}\.)[^\s\x1c-\x1f<>\"'`)\]}]++"
 SPACED_SCHEME = (
-    rf"(?dUi)(?:https?|ftps?|hxxps?|fxps?){S}*:{S}*/{S}*/"
-    rf"(?:{S}*(?:{W}|-)+(?:{S}*\.{S}*(?:{W}|-)+)*(?:{S}*/{S}*[^\s\x1c-\x1f]*)*)?"
+    rf"(?dUi)(?:https?|ftps?|hxxps?|fxps?){S}*+:{S}*+/{S}*+/"
+    rf"(?:{S}*+{H}++(?:{S}*+\.{S}*+{H}++)*+(?:{S}*+/{S}*+[^\s\x1c-\x1f]*+)*+)?"
 )
-SPACED_WWW = rf"(?dUi)www\d{{0,3}}(?:{S}*\.{S}*(?:{W}|-)+)+(?:{S}*/{S}*[^\s\x1c-\x1f]+)*"
+SPACED_WWW = rf"(?dUi)www\d{{0,3}}(?:{S}*+\.{S}*+{H}++)++(?:{S}*+/{S}*+[^\s\x1c-\x1f]++)*+"
 WEB_LINK = r"(?dUi)^(?:https?|ftps?|hxxps?|fxps?)://|^www\d{0,3}\."
 
 # Parts of HTML.
 SCRIPT_STYLE = rf"(?dUis)<(script|style)(?!{W}).*?</\1>"
-TAG = r"(?dUs)<[^>]+>"
-LINK_ATTRIBUTE = rf"(?dUi)(?<!{W})(?:href|src|action){S}*={S}*(?:\"([^\"]*)\"|'([^']*)'|([^\s\x1c-\x1f>]+))"
+TAG = r"(?dUs)<[^>]++>"
+LINK_ATTRIBUTE = rf"(?dUi)(?<!{W})(?:href|src|action){S}*+={S}*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\x1c-\x1f>]++))"
 
 # Residual markup.
-BASE64_RUN = r"[A-Za-z0-9+/]{50,}={0,2}"
-CSS_BLOCK = rf"(?dU)[.#]?[A-Za-z](?:{W}|-)*{S}*\{{[^{{}}]{{0,600}}\}}"
-SHORT_TAG = r"<[^<>]{0,400}>"
-MARKUP_ATTRIBUTE = rf"(?dUi)(?<!{W})[a-z](?:{W}|-)*{S}*={S}*\"[^\"]{{0,200}}\""
+BASE64_RUN = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{50,}+={0,2}"
+#: A name and its block in braces, for a reversed text: each block is found by its brace, not by every letter before.
+CSS_BLOCK_REVERSED = rf"(?dU)\}}[^{{}}]{{0,600}}+\{{{S}*+{H}*[A-Za-z][.#]?"
+SHORT_TAG = r"<[^<>]{0,400}+>"
+#: Looked for once in each run of word characters and hyphens; what comes before the name in a run is group 1.
+MARKUP_ATTRIBUTE = rf"(?dUi)(?<!{H})((?:(?:(?![a-z]){W}++)?+-)*+)[a-z]{H}*+{S}*+={S}*+\"[^\"]{{0,200}}+\""
 CSS_PROPERTIES = (
     "font-size", "font-family", "line-height", "padding", "margin", "background", "border",
     "cellpadding", "cellspacing", "valign", "text-align", "font-weight", "width", "height",
 )
-CSS_PROPERTY = rf"(?dUi)(?<!{W})(?:{'|'.join(CSS_PROPERTIES)}){S}*[:=]{S}*[^;{{}}\n,\"]{{0,40}};?"
+CSS_PROPERTY = rf"(?dUi)(?=[flpmbcvtwh])(?<!{W})(?:{'|'.join(CSS_PROPERTIES)}){S}*+[:=]{S}*+[^;{{}}\n,\"]{{0,40}}+;?"
 
 # Header names that quoted mail repeats.
 QUOTED_HEADERS = (
@@ -51,12 +57,12 @@ QUOTED_HEADERS = (
 )
 # Lines that mail programs add. A block's quoted headers need no part here: they go line by line after it.
 DELIVERY_LINES = (
-    rf"(?dUim)^[ \t>|]*-+{S}*original message{S}*-+.*$",
-    rf"(?dUim)^.*(?<!{W})forwarded by(?!{W}).*$",
-    rf"(?dUim)^[ \t>|]*-+{S}*forwarded message{S}*-+.*$",
-    rf"(?dUim)^[ \t>|]*on(?!{W}).{{0,200}}(?<!{W})wrote:[ \t]*$",
-    r"(?dm)^_{5,}[ \t]*$",
-    rf"(?dUim)^[ \t>|]*(?:{'|'.join(QUOTED_HEADERS)}|x-(?:{W}|-)+)[ \t]*:.*$",
+    rf"(?dUim)^[ \t>|]*+-++{S}*+original message{S}*+-++.*+$",
+    rf"(?dUim)^.*(?<!{W})forwarded by(?!{W}).*+$",
+    rf"(?dUim)^[ \t>|]*+-++{S}*+forwarded message{S}*+-++.*+$",
+    rf"(?dUim)^[ \t>|]*+on(?!{W}).{{0,200}}(?<!{W})wrote:[ \t]*+$",
+    r"(?dm)^_{5,}+[ \t]*+$",
+    rf"(?dUim)^[ \t>|]*+(?:{'|'.join(QUOTED_HEADERS)}|x-{H}++)[ \t]*+:.*+$",
 )
 
 # Words and domains that give a corpus away.
@@ -64,23 +70,18 @@ CORPUS_DOMAINS = ("enron.com", "lists.sourceforge.net", "sourceforge.net")
 CORPUS_TOKENS = ("enron", "ect", "hou", "sourceforge", "exmh", "spamassassin", "razor", "freshrpms", "xent", "zzzteana")
 
 # Reply and forward prefixes of subjects, and message ids.
-REPLY_PREFIX = rf"(?dUi)^(?:{S}*(?:re|fwd?|aw|wg|sv|vs|rv|rif|tr|fyi){S}*(?:\[\d+\])?{S}*:{S}*)+"
-MESSAGE_ID = r"<[^<>\s\x1c-\x1f]+>"
+REPLY_PREFIX = rf"(?dUi)^(?:{S}*+(?:re|fwd?|aw|wg|sv|vs|rv|rif|tr|fyi){S}*+(?:\[\d++\])?{S}*+:{S}*+)++"
+MESSAGE_ID = r"<[^<>\s\x1c-\x1f]++>"
 
-#: Labels of a spaced-out host beyond which Java's recursive matcher could overflow a thread's stack; such texts are
-#: searched by an iterative engine.
-DEEP = 1000
 
-# The spaced-out URL forms again, for Python's engine.
-_PY = {k: re.compile(v) for k, v in {
-    "scheme": r"(?i)(?:https?|ftps?|hxxps?|fxps?)\s*:\s*/\s*/(?:\s*[\w-]+(?:\s*\.\s*[\w-]+)*(?:\s*/\s*[^\s]*)*)?",
-    "www": r"(?i)www\d{0,3}(?:\s*\.\s*[\w-]+)+(?:\s*/\s*[^\s]+)*",
-}.items()}
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c bound as a variable, so that it is computed once however often f names it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
 
 
 def collapse(c: Column) -> Column:
     """White space runs to one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, rf"(?dU){S}+", " "))
+    return F.trim(F.regexp_replace(c, rf"(?dU){S}++", " "))
 
 
 def _unescape(c: Column) -> Column:
@@ -91,79 +92,95 @@ def _unescape(c: Column) -> Column:
     return run(c)
 
 
-def unescape(c: Column) -> Column:
-    """HTML entities to characters. Only texts with an ampersand leave the JVM."""
-    return F.when(F.contains(c, F.lit("&")), _unescape(F.when(F.contains(c, F.lit("&")), c))).otherwise(c)
+def unescape(c: Column, guard: Column | None = None) -> Column:
+    """HTML entities to characters. Only texts with an ampersand leave the JVM.
 
-
-def _deep(c: Column) -> Column:
-    """Whether a text has so many dots or slashes that its URLs are searched outside the JVM."""
-    return (F.length(c) - F.length(F.translate(c, "./", "")) > DEEP) & c.rlike(r"(?i)(?:https?|ftps?|hxxps?|fxps?|www)")
-
-
-def _strip_spaced(c: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _PY["www"].sub(" ", _PY["scheme"].sub(" ", t)), na_action="ignore")
-
-    return run(c)
-
-
-def _find_spaced(c: Column) -> Column:
-    @F.pandas_udf("array<string>")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [re.sub(r"\s+", "", m.group(0)) for k in ("scheme", "www") for m in _PY[k].finditer(t)], na_action="ignore")
-
-    return run(c)
+    guard: a cheap column that has an ampersand wherever c has one, where c itself is costly: each text's c is then
+    computed in one place only.
+    """
+    some = F.coalesce(F.contains(c if guard is None else guard, F.lit("&")), F.lit(False))
+    return F.when(some, _unescape(F.when(some, c))).otherwise(c)
 
 
 def strip_urls(c: Column) -> Column:
     """Without plain and spaced-out URLs, a space in place of each."""
-    plain = F.regexp_replace(c, URL, " ")
-    native = F.regexp_replace(F.regexp_replace(F.when(~_deep(plain), plain), SPACED_SCHEME, " "), SPACED_WWW, " ")
-    return F.when(_deep(plain), _strip_spaced(F.when(_deep(plain), plain))).otherwise(native)
+    for pattern in (URL, SPACED_SCHEME, SPACED_WWW):
+        c = F.regexp_replace(c, pattern, " ")
+    return c
 
 
 def find_urls(c: Column) -> Column:
     """Plain URLs, and spaced-out ones with the white space taken out; one URL may give several entries."""
-    shallow = F.when(~_deep(c), c)
-    spaced = F.concat(F.regexp_extract_all(shallow, F.lit(SPACED_SCHEME), 0), F.regexp_extract_all(shallow, F.lit(SPACED_WWW), 0))
-    squeezed = F.transform(spaced, lambda u: F.regexp_replace(u, rf"(?dU){S}+", ""))
-    return F.concat(F.regexp_extract_all(c, F.lit(URL), 0), F.when(_deep(c), _find_spaced(F.when(_deep(c), c))).otherwise(squeezed))
+
+    def find(t: Column) -> Column:
+        spaced = F.concat(F.regexp_extract_all(t, F.lit(SPACED_SCHEME), 0), F.regexp_extract_all(t, F.lit(SPACED_WWW), 0))
+        return F.concat(F.regexp_extract_all(t, F.lit(URL), 0), F.transform(spaced, lambda u: F.regexp_replace(u, rf"(?dU){S}++", "")))
+
+    return once(c, find)
 
 
 def live_url(c: Column) -> Column:
     """A defanged URL made live again."""
-    u = F.regexp_replace(F.regexp_replace(_strip(c), "(?i)^hxxp", "http"), "(?i)^fxp", "ftp")
+    u = F.regexp_replace(F.regexp_replace(strip(c), "(?i)^hxxp", "http"), "(?i)^fxp", "ftp")
     for fang in ("[.]", "(.)", "[dot]"):
         u = F.replace(u, F.lit(fang), F.lit("."))
     return u
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?dU)^{S}+|{S}+\z", "")
+def strip(c: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(c, rf"(?dU)^{S}++|(?<!{S}){S}++\z", "")
+
+
+def untag(c: Column) -> Column:
+    """Script and style blocks out, then tags, a space in place of each. What follows the last > holds no tag and is
+    left alone, so that a text full of < costs no more than any other."""
+
+    def cut(t: Column) -> Column:
+        rest = F.substring_index(t, ">", -1)
+        return F.concat(F.regexp_replace(F.substring(t, F.lit(1), F.length(t) - F.length(rest)), TAG, " "), rest)
+
+    return once(F.regexp_replace(c, SCRIPT_STYLE, " "), cut)
 
 
 def html_text(c: Column) -> Column:
     """The visible text: script and style blocks out, tags out, entities resolved."""
-    return unescape(F.regexp_replace(F.regexp_replace(c, SCRIPT_STYLE, " "), TAG, " "))
+    return unescape(untag(c), guard=c)
 
 
 def html_links(c: Column) -> Column:
     """The values of href, src and action attributes, trimmed, in their order; empty ones are left out."""
     groups = [F.regexp_extract_all(c, F.lit(LINK_ATTRIBUTE), g) for g in (1, 2, 3)]
     first = F.transform(F.arrays_zip(*[g.alias(n) for g, n in zip(groups, "abc", strict=True)]), lambda x: F.coalesce(*[F.nullif(x[n], F.lit("")) for n in "abc"], F.lit("")))
-    return F.transform(F.filter(first, lambda u: u != ""), _strip)
+    return F.transform(F.filter(first, lambda u: u != ""), strip)
 
 
 def is_web_link(c: Column) -> Column:
     return c.rlike(WEB_LINK)
 
 
+def holds_url(c: Column) -> Column:
+    """Whether a code's text is a link or has a URL in it."""
+    return c.rlike(WEB_LINK) | c.rlike(URL)
+
+
+def _where(c: Column, marks: str, f: Callable[[Column], Column]) -> Column:
+    """f of the texts that have all the marks, which f's patterns need; others are left as they are."""
+
+    def run(t: Column) -> Column:
+        has = [F.contains(t, F.lit(m)) for m in marks]
+        return F.when(functools.reduce(Column.__and__, has), f(t)).otherwise(t)
+
+    return once(c, run)
+
+
 def strip_residual_markup(c: Column) -> Column:
-    for pattern in (BASE64_RUN, CSS_BLOCK, SHORT_TAG, SHORT_TAG, MARKUP_ATTRIBUTE, CSS_PROPERTY):
-        c = F.regexp_replace(c, pattern, " ")
-    return c
+    """Runs of base64, CSS blocks, tags (twice), attributes and CSS properties, a space in place of each."""
+    c = F.regexp_replace(c, BASE64_RUN, " ")
+    c = _where(c, "{}", lambda t: F.reverse(F.regexp_replace(F.reverse(t), CSS_BLOCK_REVERSED, " ")))
+    c = _where(c, "<>", lambda t: F.regexp_replace(F.regexp_replace(t, SHORT_TAG, " "), SHORT_TAG, " "))
+    c = _where(c, '="', lambda t: F.regexp_replace(t, MARKUP_ATTRIBUTE, "$1 "))
+    return F.regexp_replace(c, CSS_PROPERTY, " ")
 
 
 def strip_delivery_artifacts(c: Column) -> Column:
@@ -185,17 +202,16 @@ def scrub(c: Column, *, tokens: bool = True) -> Column:
     return scrub_tokens(c) if tokens else c
 
 
-def body(plain: Column, html_parts: Column) -> Column:
-    """Plain parts joined by line ends if there are any, else the visible texts of the HTML parts, else empty.
-
-    plain and html_parts are arrays of strings; html_parts are given as visible text.
-    """
-    return F.when(F.size(plain) > 0, F.array_join(plain, "\n")).when(F.size(html_parts) > 0, F.array_join(html_parts, "\n")).otherwise(F.lit(""))
+def cleaned(c: Column) -> Column:
+    """What both normalisers share: URLs out, entities resolved, markup and delivery artefacts out. c is named several
+    times: give a column, not a costly expression."""
+    return scrub(unescape(strip_urls(c), guard=c), tokens=False)
 
 
 def normalize(c: Column, *, tokens: bool = True) -> Column:
     """A body's text: URLs out, entities resolved, scrubbed, white space collapsed."""
-    return collapse(scrub(unescape(strip_urls(c)), tokens=tokens))
+    out = cleaned(c)
+    return collapse(scrub_tokens(out) if tokens else out)
 
 
 def normalize_subject(c: Column) -> Column:
@@ -227,7 +243,7 @@ def shingles(c: Column, k: int = 5) -> Column:
         runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - F.lit(k - 1), F.lit(1))), lambda i: F.array_join(F.slice(ws, i, k), " "))
         return F.array_distinct(F.when(F.size(ws) >= k, runs).otherwise(ws))
 
-    return F.element_at(F.transform(F.array(w), of), 1)  # bound as a variable, the words are taken once
+    return once(w, of)
 
 
 def content_id(c: Column) -> Column:
@@ -241,9 +257,9 @@ def looks_like_email(c: Column) -> Column:
 
 def strip_fences(c: Column) -> Column:
     """Without a code fence's first and last line, trimmed."""
-    t = _strip(c)
+    t = strip(c)
     inner = F.regexp_replace(F.regexp_replace(t, r"^```[^\n]*(?:\n|\z)", ""), r"(?:^|\n)[ \t]*```[^\n]*\z", "")
-    return F.when(F.startswith(t, F.lit("```")), _strip(inner)).otherwise(t)
+    return F.when(F.startswith(t, F.lit("```")), strip(inner)).otherwise(t)
 
 
 def error_code(c: Column) -> Column:

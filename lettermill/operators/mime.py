@@ -57,6 +57,8 @@ PARSED = T.StructType(
 )
 
 QrDecoder = Callable[[bytes], list[str]]
+#: An array of HTML parts to struct<texts array<string>, links array<string>>.
+HtmlStripper = Callable[[Column], Column]
 
 
 def email_like(raw: bytes) -> bool:
@@ -80,22 +82,21 @@ def split_messages(raw: bytes | None, name: str = "") -> list[bytes]:
     return [m for m in found if email_like(m)]
 
 
-def _decoded(part: EmailMessage) -> str:
+def _or_else(f: Callable, otherwise):
+    """What f returns; `otherwise` where damaged mail makes it raise."""
     try:
-        payload = part.get_payload(decode=True)
+        return f()
     except Exception:
-        payload = None
-    if payload is None:
-        try:
-            return str(part.get_content())
-        except Exception:
-            return ""
-    for charset in (part.get_content_charset() or "utf-8", "utf-8"):
-        try:
-            return payload.decode(charset)
-        except (LookupError, ValueError):
-            pass
-    return payload.decode("latin-1")
+        return otherwise
+
+
+def _decoded(part: EmailMessage) -> str:
+    """A part's text: in its own charset if that is known and fits, else UTF-8, else Latin-1, which always fits."""
+    raw = _or_else(lambda: part.get_payload(decode=True), None)
+    if raw is None:
+        return str(_or_else(part.get_content, ""))
+    charsets = (part.get_content_charset("utf-8"), "utf-8", "latin-1")
+    return next(text for text in (_or_else(lambda c=c: raw.decode(c), None) for c in charsets) if text is not None)
 
 
 def _attached(part: EmailMessage) -> bool:
@@ -109,7 +110,8 @@ def sender_of(header: str | None) -> str | None:
 
 
 def parse(raw: bytes, qr: QrDecoder | None = None) -> dict:
-    """A message's headers, bodies and attachments as they are, for column expressions to refine."""
+    """A message's headers, bodies and attachments as they are, for column expressions to refine. A picture that the
+    decoder fails on has no codes."""
     msg = message_from_bytes(raw, policy=policy.default)
     out: dict = {}
     for field, name in HEADERS:
@@ -123,13 +125,10 @@ def parse(raw: bytes, qr: QrDecoder | None = None) -> dict:
             continue
         kind = (part.get_content_type() or "").lower()
         if _attached(part):
-            try:
-                payload = part.get_payload(decode=True) or b""
-            except Exception:
-                payload = b""
+            payload = _or_else(lambda p=part: p.get_payload(decode=True), None) or b""
             files.append({"filename": part.get_filename(), "content_type": kind, "size": len(payload), "payload": payload})
             if qr is not None and payload and kind.startswith("image/"):
-                codes += qr(payload)
+                codes += [c.decode("utf-8", "replace") if isinstance(c, bytes) else str(c) for c in _or_else(lambda b=payload: list(qr(b)), [])]
         elif kind == "text/plain":
             plain.append(_decoded(part))
         elif kind == "text/html":
@@ -203,37 +202,50 @@ def auth_results(c: Column) -> Column:
     return F.nullif(F.array_join(F.filter(F.transform(c, X.collapse), lambda v: v != ""), " | "), F.lit(""))
 
 
-def epi_record(parsed: DataFrame, *, id: Column | None = None, source: Column | None = None, label: Column | None = None, split: Column | None = None, scrub_tokens: bool = True) -> DataFrame:
-    """The training record of parsed messages: ten fields, then the columns of `parsed` but for the struct."""
-    p = lambda name: F.col("parsed").getField(name)
-    visible = F.transform(p("html_parts"), lambda h: F.regexp_replace(F.regexp_replace(h, X.SCRIPT_STYLE, " "), X.TAG, " "))
-    joined = X.body(p("plain_parts"), visible)
-    # the parts of an HTML body are unescaped once as HTML, then once more with the text
-    text = X.normalize(F.when(F.size(p("plain_parts")) > 0, joined).otherwise(X.unescape(joined)), tokens=scrub_tokens)
+def _given(id: Column | None, label: Column | None, source: Column | None, split: Column | None) -> list[Column]:
     none = F.lit(None).cast("string")
-    given = [(none if c is None else c).alias(n) for n, c in (("id", id), ("label", label), ("source", source), ("split", split))]
-    first = [given[0], text.alias("text"), *given[1:]]
+    return [(none if c is None else c).alias(n) for n, c in (("id", id), ("label", label), ("source", source), ("split", split))]
+
+
+def _with_body(parsed: DataFrame, stripper: HtmlStripper | None) -> DataFrame:
+    """Columns __body and __links of parsed messages. Each step is a column of its own, so that it is computed once."""
+    plain, rich = F.col("parsed.plain_parts"), F.col("parsed.html_parts")
+    if stripper is None:
+        out = parsed.withColumn("__html", F.when(F.size(plain) == 0, F.array_join(F.transform(rich, X.untag), "\n")))
+        out = out.withColumn("__links", F.flatten(F.transform(rich, X.html_links)))
+        html = X.unescape(F.col("__html"))  # as HTML; the whole body is unescaped once more as text
+    else:
+        out = parsed.withColumn("__stripped", stripper(rich))
+        out = out.withColumn("__links", F.col("__stripped.links"))
+        html = F.array_join("__stripped.texts", "\n")
+    return out.withColumn("__body", F.when(F.size(plain) > 0, F.array_join(plain, "\n")).otherwise(F.coalesce(html, F.lit(""))))
+
+
+def epi_record(
+    parsed: DataFrame, *, id: Column | None = None, source: Column | None = None, label: Column | None = None, split: Column | None = None, scrub_tokens: bool = True, html_stripper: HtmlStripper | None = None
+) -> DataFrame:
+    """The training record of parsed messages: ten fields, then the columns of `parsed` but for the struct. A message
+    that couldn't be parsed has an empty text and no headers."""
     names = ("from", "subject", "message_id", "in_reply_to", "references")
+    first, *given = _given(id, label, source, split)
     rest = [c for c in parsed.columns if c != "parsed" and c not in ("id", "text", "label", "source", "split", *names)]
-    return parsed.select(*first, *[header(p(n)).alias(n) for n in names], *[F.col(f"`{c}`") for c in rest])
+    text = X.normalize(F.col("__body"), tokens=scrub_tokens)
+    return _with_body(parsed, html_stripper).select(first, text.alias("text"), *given, *[header(F.col("parsed").getField(n)).alias(n) for n in names], *[F.col(f"`{c}`") for c in rest])
 
 
-def runtime_record(parsed: DataFrame, *, id: Column | None = None, source: Column | None = None, label: Column | None = None, split: Column | None = None) -> DataFrame:
-    """The eighteen fields of a detector's record: headers, text without token scrub, URLs made live, attachments."""
+def runtime_record(
+    parsed: DataFrame, *, id: Column | None = None, source: Column | None = None, label: Column | None = None, split: Column | None = None, html_stripper: HtmlStripper | None = None
+) -> DataFrame:
+    """The eighteen fields of a detector's record: headers, text without token scrub, URLs made live, attachments. Of
+    the codes read from pictures those count that hold a URL."""
     p = lambda name: F.col("parsed").getField(name)
-    none = F.lit(None).cast("string")
-    given = [(none if c is None else c).alias(n) for n, c in (("id", id), ("label", label), ("source", source), ("split", split))]
-    visible = F.transform(p("html_parts"), lambda h: F.regexp_replace(F.regexp_replace(h, X.SCRIPT_STYLE, " "), X.TAG, " "))
-    base = parsed.select(
-        *given,
-        F.col("parsed"),
-        F.when(F.size(p("plain_parts")) > 0, X.body(p("plain_parts"), visible)).otherwise(X.unescape(X.body(p("plain_parts"), visible))).alias("__body"),
-        F.filter(F.flatten(F.transform(p("html_parts"), X.html_links)), X.is_web_link).alias("__links"),
-    )
     mark = "\x00"  # one pass of entity resolution over all URLs of a message
-    found = F.array_distinct(F.filter(F.concat("__links", X.find_urls(F.col("__body"))), lambda u: u != ""))
-    base = base.withColumn("__urls", F.when(F.size(found) > 0, F.split(X.unescape(F.array_join(found, mark)), mark)).otherwise(F.array().cast("array<string>")))
-    live = F.array_sort(F.array_distinct(F.transform(F.filter(F.concat("__urls", p("qr")), lambda u: u != ""), X.live_url)))
+    base = _with_body(parsed.select(*_given(id, label, source, split), "parsed"), html_stripper)
+    base = base.withColumn("__found", F.array_distinct(F.filter(F.concat(F.filter("__links", X.is_web_link), X.find_urls(F.col("__body"))), lambda u: u != "")))
+    base = base.withColumn("__joined", F.when(F.size("__found") > 0, F.array_join("__found", mark)))
+    base = base.withColumn("__urls", F.coalesce(F.split(X.unescape(F.col("__joined")), mark), F.array().cast("array<string>")))
+    base = base.withColumn("__codes", F.filter(F.transform(p("qr"), X.strip), X.holds_url))
+    live = F.array_sort(F.array_distinct(F.transform(F.filter(F.concat("__urls", "__codes"), lambda u: u != ""), X.live_url)))
     files = F.transform(
         p("attachments"),
         lambda a: F.struct(
@@ -252,8 +264,8 @@ def runtime_record(parsed: DataFrame, *, id: Column | None = None, source: Colum
         "split",
         *[header(p(n)).alias(n) for n, _ in HEADERS],
         auth_results(p("auth")).alias("auth_results"),
-        ((F.size("__urls") > 0) | (F.size(p("qr")) > 0)).alias("has_url"),
-        (F.size(p("qr")) > 0).alias("has_qr"),
+        ((F.size("__urls") > 0) | (F.size("__codes") > 0)).alias("has_url"),
+        (F.size("__codes") > 0).alias("has_qr"),
         (F.size(p("attachments")) > 0).alias("has_attachment"),
         live.alias("urls"),
         files.alias("attachments"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,16 +28,29 @@ def source_folders(spark: SparkSession, raw: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """All files below a folder, as paths relative to it, in the order of their path's components."""
+def has_files(spark: SparkSession, folder: str) -> bool:
+    """Whether there is any file below a folder; looks no further than the first."""
     fs, p = _root(spark, folder)
-    base, found = p.toString().rstrip("/") + "/", []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        found.append(it.next().getPath().toString().removeprefix(base))
+    return fs.listFiles(p, True).hasNext()
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """All files below a folder, as paths relative to it, in the order of their path's components. Spark lists them, in
+    parallel where there are many folders, and no content is read."""
+    if not has_files(spark, folder):
+        return []
+    _, base = _root(spark, folder)
+    base = _bare(base.toString()).rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_escaped(folder)).select("path")
+    found = [_bare(r[0]).removeprefix(base) for r in files.toLocalIterator()]
     return sorted(found, key=lambda f: PurePosixPath(f).parts)
 
 
+def _bare(path: str) -> str:
+    """A path without scheme and authority, which may be spelt in more than one way."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/*", "/", path)
+
+
 def sample_files(files: list[str], k: int, seed: int) -> list[str]:
     """k of the listed files without replacement, in their order; all of them if k is 0 or not below their number."""
     if k <= 0 or k >= len(files):
@@ -63,7 +77,7 @@ def read_tree(spark: SparkSession, raw: str, cfg: BuildConfig | None = None) ->
             continue
         if source == cfg.sampled_source and cfg.sample_files > 0:
             paths += [f"{prefix}{source}/{f}" for f in sample_files(list_files(spark, f"{prefix}{source}"), cfg.sample_files, cfg.seed)]
-        elif list_files(spark, f"{prefix}{source}"):
+        elif has_files(spark, f"{prefix}{source}"):
             paths.append(f"{prefix}{source}")
     schema = "path string, modificationTime timestamp, length long, content binary"
     if not paths:

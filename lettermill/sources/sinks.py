@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill.config import DATASET_FIELDS
-from lettermill.session import ship
+from lettermill.session import ship, stored
 
 
 def write_dataset(records: DataFrame, path: str, *, single_file: bool = False) -> None:
@@ -22,7 +22,10 @@ def write_dataset(records: DataFrame, path: str, *, single_file: bool = False) -
 
 def append_records(records: DataFrame, path: str, *, dry_run: bool = False) -> None:
     """Append records with all their fields to a JSON-lines dataset; nothing is written for none, or on a dry run."""
-    if not dry_run and not records.isEmpty():
+    if dry_run:
+        return
+    records = stored(records)  # whether there are any is asked before they are written
+    if not records.isEmpty():
         records.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
@@ -53,8 +56,7 @@ def write_messages(messages: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(numbers, pa.int64()), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["class", "n", "path", "bytes"])
 
     rows = messages.select("class", F.col("n").cast("long"), "message")
-    done = rows.mapInArrow(run, "class string, n long, path string, bytes long").collect()
-    return messages.sparkSession.createDataFrame(done, "class string, n long, path string, bytes long")
+    return stored(rows.mapInArrow(run, "class string, n long, path string, bytes long"))
 
 
 def write_manifest(spark: SparkSession, path: str, content: dict) -> None:

@@ -52,6 +52,32 @@ def test_runtime_record(spark):
     assert files["application/pdf"]["size"] <= 1 and files["text/plain"]["filename"] == "note.txt"
 
 
+def test_codes_of_pictures(spark):
+    """Codes are trimmed, those without a URL don't count, a decoder that fails finds none."""
+    def some(payload):
+        return ["  www.qr.example/a ", " not a url ", b" hxxps://q[.]example ", "see http://in.text/x"]
+
+    def raising(payload):
+        raise ValueError("no picture")
+
+    found = mime.runtime_record(parsed(spark, MIXED, qr_decoder=some)).first()
+    assert found["urls"] == ["http://evil.example/q", "https://q.example", "see http://in.text/x", "www.qr.example/a"] and found["has_qr"]
+    none = mime.runtime_record(parsed(spark, MIXED, qr_decoder=raising)).first()
+    assert none["urls"] == ["http://evil.example/q"] and not none["has_qr"] and none["has_attachment"] and none["subject"] == "Re: Hello"
+    only = mime.runtime_record(parsed(spark, MIXED.replace(b"hxxp://evil.example/q", b""), qr_decoder=lambda b: [" not a url "])).first()
+    assert not only["has_qr"] and not only["has_url"] and only["urls"] == []
+
+
+def test_html_by_parser(spark):
+    from lettermill.functions import markup
+
+    page = RICH.replace(b"<p>A", b"<p title='a>b'>A").replace(b"</p>", b"<a href='www.l.example'>t</a></p>")
+    rec = mime.epi_record(parsed(spark, page, PLAIN), html_stripper=markup.strip_parts).orderBy("i").collect()
+    assert rec[0]["text"] == "A bold é t" and rec[1]["text"] == "Hello there bye"
+    run = mime.runtime_record(parsed(spark, page), html_stripper=markup.strip_parts).first()
+    assert run["urls"] == ["www.l.example"] and run["text"] == "A bold é t"
+
+
 def test_unparsable_messages_are_marked(spark):
     rows = parsed(spark, None, b"", PLAIN).orderBy("i").collect()
     assert rows[0]["parsed"]["parse_error"] and rows[1]["parsed"]["parse_error"] is None and rows[2]["parsed"]["sender"] == "ann@example.org"
@@ -164,11 +190,13 @@ def test_stream_of_files(spark, tmp_path):
     (tmp_path / "in/1.eml").write_bytes(PLAIN)
     (tmp_path / "in/2.eml").write_bytes(PLAIN)
     (tmp_path / "in/3.eml").write_bytes(MIXED)
-    stream = runtime.runtime_stream(runtime.message_stream(spark, str(tmp_path / "in")))
+    stream = runtime.runtime_stream(runtime.message_stream(spark, str(tmp_path / "in")), qr_decoder=lambda b: ["https://qr.example/x"])
     q = stream.writeStream.format("memory").queryName("mail_records").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     for _ in range(240):
         if not q.isActive:
             break
         time.sleep(0.5)
     assert q.exception() is None
-    assert sorted(r["text"] for r in spark.table("mail_records").collect()) == ["Café one inner text", "Hello there bye"]
+    rows = {r["text"]: r for r in spark.table("mail_records").collect()}
+    assert sorted(rows) == ["Café one inner text", "Hello there bye"]
+    assert rows["Café one inner text"]["has_qr"] and "https://qr.example/x" in rows["Café one inner text"]["urls"]
