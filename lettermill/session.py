@@ -30,16 +30,36 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset and all runs on one
+    machine, a temporary folder; on a cluster no folder of one machine will do, and that is an error."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="lettermill-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def scratch(spark: SparkSession) -> str:
+    """A path of this application's own in the shared folder, where nothing is yet."""
+    return f"{shared_dir(spark).rstrip('/')}/lettermill-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Delete one scratch path whose rows nobody will read again, or without a path all of this application's: call it
+    when the results of queries are written."""
+    fs, p = _hadoop(spark, path or scratch(spark).rpartition("/")[0])
+    fs.delete(p, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Computed once, written to the shared folder, lineage cut: it outlives lost executors."""
     shared_dir(df.sparkSession)
@@ -54,8 +74,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """As durable(), but as a compressed Parquet table: for wide rows that are read more than once."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """As durable(), but as a compressed Parquet table (in a scratch path, or the one given): for wide rows that are
+    read more than once."""
+    path = path or scratch(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
