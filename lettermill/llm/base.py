@@ -10,12 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.session import durable, shared_dir, ship, shuffle_partitions, stored, table
+from lettermill.session import drop_scratch, durable, scratch, shared_dir, ship, shuffle_partitions, stored, table
 
-__all__ = ["durable", "shared_dir", "ship", "shuffle_partitions", "stored", "table"]
+__all__ = ["drop_scratch", "durable", "scratch", "shared_dir", "ship", "shuffle_partitions", "stored", "table"]
 
 #: Bytes of text that a kernel works on at once (one text at least).
 SLICE_BYTES = 1 << 20
@@ -28,15 +28,19 @@ def range_cells(df: DataFrame, key: str, cells: int) -> tuple[list, F.Column]:
     """
     cuts = df.agg(F.percentile_approx(key, [i / cells for i in range(1, cells)] or [0.5], 10_000).alias("q")).first()[0] or []
     cuts = sorted(set(cuts)) if cells > 1 else []
+    return cuts, range_of(F.col(key), cuts)
+
+
+def range_of(key: Column, cuts: list) -> Column:
+    """How many of the ascending cuts a key reaches; 0 for null."""
     if not cuts:
-        return [], F.lit(0)
+        return F.lit(0)
     step = int(len(cuts) ** 0.5) + 1  # two short searches in place of a long one
     groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    below = lambda values: F.size(F.filter(values, lambda c: c <= F.col(key)))
+    below = lambda values: F.size(F.filter(values, lambda c: c <= key))
     coarse = below(F.array(*[F.lit(g[0]) for g in groups]))
     fine = below(F.element_at(F.array(*[F.array(*map(F.lit, g)) for g in groups]), F.greatest(coarse, F.lit(1))))
-    cell = F.when(F.col(key).isNull() | (coarse == 0), F.lit(0)).otherwise((coarse - 1) * step + fine)
-    return cuts, cell.cast("int")
+    return F.when(key.isNull() | (coarse == 0), F.lit(0)).otherwise((coarse - 1) * step + fine).cast("int")
 
 
 # ---- Arrow buffers -------------------------------------------------------------------------------------------------
@@ -174,7 +178,8 @@ def list_array(values: np.ndarray | pa.Array, counts: np.ndarray) -> pa.ListArra
 
 
 class HashIndex:
-    """Numbers 0, 1, .. for 64-bit hashes, in an open hash table that is probed for many at once. Zero is no hash."""
+    """Numbers 0, 1, .. for 64-bit hashes, in an open hash table that is probed for many at once. Zero is no hash.
+    2^log_slots slots to begin with."""
 
     def __init__(self, log_slots: int):
         self.log_slots = log_slots
@@ -199,10 +204,22 @@ class HashIndex:
             at = at[~same & (got != 0)]
         return out
 
+    def _grow(self, size: int) -> None:
+        """Room for `size` hashes at half load at most."""
+        if 2 * size <= len(self.keys):
+            return
+        old, numbers = self.keys[self.keys != 0], self.numbers[self.keys != 0]
+        self.log_slots = (2 * size - 1).bit_length()
+        self.keys, self.numbers = np.zeros(1 << self.log_slots, np.uint64), np.zeros(1 << self.log_slots, np.int32)
+        self._place(old, numbers)
+
     def add(self, h: np.ndarray) -> None:
-        """Number distinct hashes that aren't in the table yet, in their order."""
-        number = np.arange(self.size, self.size + len(h), dtype=np.int32)
+        """Number distinct hashes that aren't in the table yet, in their order. The table grows as it must."""
+        self._grow(self.size + len(h))
+        self._place(h, np.arange(self.size, self.size + len(h), dtype=np.int32))
         self.size += len(h)
+
+    def _place(self, h: np.ndarray, number: np.ndarray) -> None:
         slot = self._slot(h)
         left = np.arange(len(h))
         while len(left):

@@ -1,9 +1,10 @@
-"""Bloom filters of a fixed size, built where the data is and merged block by block.
+"""Bloom filters sized from a count of their keys, built where the data is and merged block by block.
 
 A filter is split into blocks; all probes of a hash fall into one block. Tasks send their blocks compressed, so that a
-sparse one costs little; the blocks of one number meet in one task, which folds them one after another. The filter's
-size is a parameter and bounds what the driver holds and broadcasts, whatever the input: a filter that fills up only
-suspects more, and whatever uses it confirms exactly.
+sparse one costs little; the blocks of one number meet in one task, which folds them one after another. A filter has
+10 to 20 bits a key, for false positives of 1.7 to 0.3 %, up to KEYS keys: that bounds what the driver holds and
+broadcasts (128 MB). For more keys there is no filter: everything is suspect, and whatever uses it confirms exactly
+by a join anyway. Where the filters are the method itself, keys are dealt out to several by ranges of their hash.
 """
 
 from __future__ import annotations
@@ -17,11 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import mix64
+from .base import mix64, shuffle_partitions
 
 #: log2 of the bits of a block.
 BLOCK_LOG = 18
 PROBES = 3
+#: Keys that a filter is made for at most: 2^30 bits, or 128 MB.
+KEYS = 100_000_000
+
+
+def log_bits_for(keys: int) -> int:
+    """log2 of the bits of a filter for so many keys: 10 a key, filled up to a power of two."""
+    return max(BLOCK_LOG, (10 * max(keys, 1) - 1).bit_length())
 
 PARTS = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("once", T.BinaryType()), T.StructField("twice", T.BinaryType())])
 
@@ -39,11 +47,11 @@ def positions(h: np.ndarray, log_bits: int) -> np.ndarray:
 
 
 class Bloom:
-    """A filter of 2^log_bits bits; `packed` are the bits of a finished one."""
+    """A filter of 2^log_bits bits; `packed` are the bits of a finished one, and tell its size."""
 
-    def __init__(self, log_bits: int, packed: bytes | None = None):
-        self.log_bits = log_bits
+    def __init__(self, log_bits: int = 0, packed: bytes | None = None):
         self.bits = np.zeros(1 << (log_bits - 3), np.uint8) if packed is None else np.frombuffer(packed, np.uint8)
+        self.log_bits = log_bits if packed is None else len(packed).bit_length() + 2
 
     def add(self, h: np.ndarray) -> None:
         flat = positions(h, self.log_bits).ravel()
@@ -94,10 +102,22 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
+class Everything:
+    """In place of a filter that would be too large: suspects all."""
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        return np.ones(len(h), bool)
+
+
+def opened(packed: bytes | None) -> Bloom | Everything:
+    return Everything() if packed is None else Bloom(packed=packed)
+
+
 def merged(parts: DataFrame, log_bits: int, column: str) -> bytes:
-    """The whole filter, on the driver: 2^log_bits bits, never more."""
+    """The whole filter, on the driver: 2^log_bits bits, never more. Folded by as many tasks as a shuffle has."""
     blocks = 1 << max(0, log_bits - BLOCK_LOG)
-    rows = parts.repartition(min(blocks, 32), "block").sortWithinPartitions("block").mapInArrow(_fold, PARTS).select("block", F.col(column).alias("bits"))
+    tasks = min(blocks, max(32, shuffle_partitions(parts.sparkSession)))
+    rows = parts.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(_fold, PARTS).select("block", F.col(column).alias("bits"))
     size = 1 << (min(BLOCK_LOG, log_bits) - 3)
     out = np.zeros((blocks, size), np.uint8)
     for r in rows.collect():
@@ -105,8 +125,14 @@ def merged(parts: DataFrame, log_bits: int, column: str) -> bytes:
     return out.tobytes()
 
 
-def of_column(df: DataFrame, column: str, log_bits: int, mix: bool = False) -> bytes:
-    """The filter of a column of 64-bit hashes, or with `mix` of any integers."""
+def of_column(df: DataFrame, column: str, *, mix: bool = False, keys: int = KEYS) -> bytes | None:
+    """The filter of a column of evenly spread 64-bit hashes, or with `mix` of any integers (smallest hashes of windows
+    are not even); None for more than `keys` of them. df is read twice."""
+    rows = df.where(F.col(column).isNotNull()).select(column)
+    n = rows.count()
+    if n > keys:
+        return None
+    log_bits = log_bits_for(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Bloom(log_bits)
@@ -115,5 +141,4 @@ def of_column(df: DataFrame, column: str, log_bits: int, mix: bool = False) -> b
             f.add(mix64(h) if mix else h)
         yield emit(f, None)
 
-    return merged(df.where(F.col(column).isNotNull()).select(column).mapInArrow(run, PARTS), log_bits, "once")
-
+    return merged(rows.mapInArrow(run, PARTS), log_bits, "once")

@@ -2,8 +2,9 @@
 
 Of the hashes of all GRAM-word runs, the smallest in every stretch of WINDOW - GRAM + 1 is a fingerprint: two texts
 that share WINDOW words share a fingerprint there. Documents keep those fingerprints that a Bloom filter of the
-benchmark's may hold (2 MB, whatever the benchmark); these are joined with the benchmark's, each of which brings the
-windows it stands for, and the hits are confirmed word by word and extended over the whole document.
+benchmark's may hold, each with a hash of the window that it stands for; these are joined with the benchmark's, so
+that a common fingerprint brings the windows that may be equal and no others, and the hits are confirmed word by word
+and extended over the whole document.
 """
 
 from __future__ import annotations
@@ -19,12 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import ALNUM, LOWER, Words, durable, list_array, ship, signed, slices, table, utf8
-from .bloom import Bloom, of_column
+from .base import ALNUM, LOWER, Words, durable, list_array, mix64, randoms, ship, signed, slices, table, utf8
+from .bloom import KEYS, of_column, opened
 
 WINDOW = 8
 GRAM = 4
-LOG_BITS = 24
 SEED = 11
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -50,8 +50,14 @@ def short_grams(words: Words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, n
     return words.grams(hashes, n, SEED + 100 + n)
 
 
+def wholes(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n words from each of the places."""
+    c = randoms(n, SEED + 300 + n)
+    return mix64((hashes[at[:, None] + np.arange(n)] * c).sum(axis=1, dtype=np.uint64))
+
+
 def _bench(window: int, gram: int):
-    """Rows (print, item, window's words, number of words) of the items."""
+    """Rows (print, whole, item, window's words, number of words) of the items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,48 +66,52 @@ def _bench(window: int, gram: int):
                 h = w.hashes(SEED)
                 row = w.text_of()
                 prints, at = winnow(w, h, window, gram)
-                sizes = np.full(len(at), window)
+                sizes, whole = np.full(len(at), window), wholes(h, at, window)
                 for n in range(1, window):
                     p, a = short_grams(w, h, n)
                     only = w.counts[row[a]] == n
                     prints, at, sizes = np.concatenate([prints, p[only]]), np.concatenate([at, a[only]]), np.concatenate([sizes, np.full(int(only.sum()), n)])
+                    whole = np.concatenate([whole, wholes(h, a[only], n)])
                 raw = w.data.tobytes()
                 text = [b" ".join(raw[s:e] for s, e in zip(w.starts[i : i + n].tolist(), w.ends[i : i + n].tolist(), strict=True)).decode() for i, n in zip(at.tolist(), sizes.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(prints)), part.column("item").take(pa.array(row[at])), pa.array(text, pa.string()), pa.array(sizes.astype(np.int32))], names=["print", "item", "window", "n"]
+                    [pa.array(signed(prints)), pa.array(signed(whole)), part.column("item").take(pa.array(row[at])), pa.array(text, pa.string()), pa.array(sizes.astype(np.int32))],
+                    names=["print", "whole", "item", "window", "n"],
                 )
 
     return run
 
 
-def _suspects(shared, window: int, gram: int, short: list[int], log_bits: int):
+PRINT = T.StructType([T.StructField("print", T.LongType()), T.StructField("whole", T.LongType())])
+
+
+def _suspects(shared, window: int, gram: int, short: list[int]):
     """Every document's number of words, the fingerprints that the benchmark may hold, and its text if it has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = Bloom(log_bits, shared.value)
+        bloom = opened(shared.value)
         for batch in batches:
             for part in slices(batch):
                 w = Words(*utf8(part.column("text")), ALNUM, LOWER)
                 h = w.hashes(SEED)
                 row = w.text_of()
-                found_p, found_r = [], []
-                for prints, at in [winnow(w, h, window, gram), *(short_grams(w, h, n) for n in short)]:
+                found = []
+                for n, (prints, at) in [(window, winnow(w, h, window, gram)), *((n, short_grams(w, h, n)) for n in short)]:
                     fresh = np.ones(len(prints), bool)
-                    fresh[1:] = (prints[1:] != prints[:-1]) | (row[at[1:]] != row[at[:-1]])  # neighbours mostly share theirs
-                    prints, at = prints[fresh], at[fresh]
-                    hit = bloom.has(prints)
-                    found_p.append(prints[hit])
-                    found_r.append(row[at[hit]])
-                p, r = np.concatenate(found_p), np.concatenate(found_r)
-                order = np.lexsort((p, r))
-                p, r = p[order], r[order]
+                    fresh[1:] = prints[1:] != prints[:-1]  # neighbours mostly share theirs: each is looked up once
+                    hit = bloom.has(mix64(prints[fresh]))[np.cumsum(fresh) - 1] if len(prints) else fresh
+                    found.append((prints[hit], wholes(h, at[hit], n), row[at[hit]]))
+                p, x, r = (np.concatenate(c) for c in zip(*found, strict=True))
+                order = np.lexsort((x, p, r))
+                p, x, r = p[order], x[order], r[order]
                 new = np.ones(len(p), bool)
-                new[1:] = (p[1:] != p[:-1]) | (r[1:] != r[:-1])
-                p, r = p[new], r[new]
+                new[1:] = (p[1:] != p[:-1]) | (x[1:] != x[:-1]) | (r[1:] != r[:-1])
+                p, x, r = p[new], x[new], r[new]
                 n = np.bincount(r, minlength=part.num_rows)
                 text = part.column("text").take(pa.array(np.arange(len(n)), mask=n == 0))
+                pairs = pa.StructArray.from_arrays([pa.array(signed(p)), pa.array(signed(x))], names=PRINT.names)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("doc"), pa.array(w.counts.astype(np.int64)), list_array(signed(p), n), text], names=["uid", "doc", "n_words", "prints", "text"]
+                    [part.column("uid"), part.column("doc"), pa.array(w.counts.astype(np.int64)), list_array(pairs, n), text], names=["uid", "doc", "n_words", "prints", "text"]
                 )
 
     return run
@@ -138,7 +148,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", item: str = "item_id", window: int = WINDOW, gram: int = GRAM, log_bits: int = LOG_BITS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", item: str = "item_id", window: int = WINDOW, gram: int = GRAM, keys: int = KEYS) -> DataFrame:
     """For every row of docs: key, n_words, n_hit (words in occurrences of benchmark windows), n_items (items with
     windows that occur) and items_sha256 (of their ids, sorted as strings, joined by commas).
 
@@ -146,21 +156,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id",
     whole. Words are runs of digits, letters and code points above 127, A-Z lower-cased. Null and empty texts have no
     words; items without an id are left out; rows that repeat give a row each; columns beyond key and text don't
     matter; an empty table on either side gives no hits. Texts travel only for documents with a suspect fingerprint.
+    keys: what the broadcast filter of fingerprints may hold; beyond it all fingerprints are joined, with the same
+    result. A text is held in memory as a whole, at some 80 bytes a byte.
     """
     spark = docs.sparkSession
     ship(spark)
     kind = benchmark.schema[item].dataType
-    schema = T.StructType([T.StructField("print", T.LongType()), T.StructField("item", kind), T.StructField("window", T.StringType()), T.StructField("n", T.IntegerType())])
+    schema = T.StructType([*PRINT.fields, T.StructField("item", kind), T.StructField("window", T.StringType()), T.StructField("n", T.IntegerType())])
     bench = durable(benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), "text").mapInArrow(_bench(window, gram), schema).distinct())
     short = [r["n"] for r in bench.select("n").where(F.col("n") < window).distinct().collect()]
-    shared = spark.sparkContext.broadcast(of_column(bench, "print", log_bits))
+    shared = spark.sparkContext.broadcast(of_column(bench.select("print").distinct(), "print", mix=True, keys=keys))
     schema = T.StructType(
-        [T.StructField("uid", T.LongType()), T.StructField("doc", docs.schema[key].dataType), T.StructField("n_words", T.LongType()), T.StructField("prints", T.ArrayType(T.LongType())), T.StructField("text", T.StringType())]
+        [T.StructField("uid", T.LongType()), T.StructField("doc", docs.schema[key].dataType), T.StructField("n_words", T.LongType()), T.StructField("prints", T.ArrayType(PRINT)), T.StructField("text", T.StringType())]
     )
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(key).alias("doc"), "text")
-    rows = durable(rows.mapInArrow(_suspects(shared, window, gram, sorted(short), log_bits), schema))
-    prints = rows.select("uid", F.explode("prints").alias("print"))
-    cands = prints.join(bench, "print").groupBy("uid").agg(F.collect_set(F.struct("item", "window", "n")).alias("windows"))
+    rows = durable(rows.mapInArrow(_suspects(shared, window, gram, sorted(short)), schema))
+    prints = rows.select("uid", F.inline("prints"))
+    cands = prints.join(bench, ["print", "whole"]).groupBy("uid").agg(F.collect_set(F.struct("item", "window", "n")).alias("windows"))
     joined = rows.drop("prints").join(cands, "uid", "left")
     out = T.StructType(
         [schema["uid"], schema["doc"], schema["n_words"], T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType())]

@@ -14,6 +14,7 @@ without rare shingles leave a link possible: no link is lost, and no group is ex
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from lettermill.operators.graph import connected_components
 
 from .base import LOWER, NOT_SPACE, Words, durable, list_array, mix64, randoms, ship, signed, slices, stored, table, utf8
-from .bloom import Bloom, of_column
+from .bloom import KEYS, of_column, opened
 
 SIZE = 128
 ROWS = 4
@@ -35,7 +36,6 @@ PERCENT = 80
 BANDS = SIZE // ROWS
 #: Texts that may have a shingle for it to count as rare.
 RARE = 10
-LOG_BITS = 26
 SEED = 29
 
 
@@ -108,11 +108,11 @@ def _describe(shingle: int, size: int, rows: int):
     return run
 
 
-def _sets(shared, shingle: int, log_bits: int):
+def _sets(shared, shingle: int):
     """The sets of the documents whose ids may be in the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = Bloom(log_bits, shared.value)
+        bloom = opened(shared.value)
         for batch in batches:
             ids = batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64)
             picked = batch.filter(pa.array(bloom.has(mix64(ids.view(np.uint64)))))
@@ -145,7 +145,7 @@ def _verify(percent: int):
 PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT, size: int = SIZE, rows: int = ROWS, log_bits: int = LOG_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT, size: int = SIZE, rows: int = ROWS, keys: int = KEYS) -> DataFrame:
     """For every row of docs: key, n_shingles, component_id and kept.
 
     Sets hold the distinct shingles of `shingle` words (A-Z lower-cased, split at ASCII white space); two texts are
@@ -153,7 +153,9 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHIN
     kept marks its row. Null, empty and wordless texts have no shingles and stand alone. Null keys are linked with
     nothing, their component is null, and they are kept. Keys are meant to be unique integers: rows that share one are
     one document in the links. Columns beyond key and text don't matter; an empty table gives none. Shingles are
-    64-bit hashes, sets are compared in full.
+    64-bit hashes, sets are compared in full. keys: what the broadcast filter of bucket members may hold; beyond it
+    the sets of all documents travel, with the same result. A text is held in memory as a whole, at some 100 bytes a
+    byte while its set is made.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -167,25 +169,28 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", shingle: int = SHIN
     shared = stored(spread.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).where("pivot < most").drop("most"))
     members = stored(spread.join(shared, "band"))
     nodes = members.select("node").distinct()
-    component = _components(pair, members, nodes, shingle, percent, log_bits)
+    component = _components(pair, members, nodes, shingle, percent, keys)
     names = classes.select("digest", "node")
     if component is not None:
         names = names.join(component, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     else:
         names = names.select("digest", F.col("node").alias("component"))
-    out = texts.join(names, "digest", "left").select(F.col("doc").alias(key), "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id"))
+    # texts without a digest or a key have no class to be looked up
+    none = texts.where("digest is null or doc is null").select("doc", "n_shingles", F.col("doc").alias("component"))
+    out = texts.where("digest is not null and doc is not null").join(names, "digest", "left").select("doc", "n_shingles", "component").unionByName(none)
+    out = out.select(F.col("doc").alias(key), "n_shingles", F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
 
 
-def _components(pair: DataFrame, members: DataFrame, nodes: DataFrame, shingle: int, percent: int, log_bits: int) -> DataFrame | None:
+def _components(pair: DataFrame, members: DataFrame, nodes: DataFrame, shingle: int, percent: int, keys: int) -> DataFrame | None:
     """The component of every linked node, over the links between members of all buckets; None without buckets."""
     if members.limit(1).count() == 0:
         return None
     spark = pair.sparkSession
-    filled = of_column(nodes, "node", log_bits, mix=True)
-    broad = spark.sparkContext.broadcast(filled)
+    nodes = stored(nodes)
+    broad = spark.sparkContext.broadcast(of_column(nodes, "node", mix=True, keys=keys))
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    sets = pair.where("doc is not null").withColumnRenamed("doc", "node").mapInArrow(_sets(broad, shingle, log_bits), schema)
+    sets = pair.where("doc is not null").withColumnRenamed("doc", "node").mapInArrow(_sets(broad, shingle), schema)
     sets = stored(sets.join(nodes, "node", "left_semi"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -216,7 +221,11 @@ def _open_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of a group, in different components, that may be linked; no pair that is linked is left out.
 
     A shingle is rare that at most RARE texts of all groups have. Two texts either share a rare shingle, and are found
-    by it, or they share no more than what is left of the smaller one without its rare shingles.
+    by it, or they share no more than what is left of the smaller one without its rare shingles. In the second case
+    each has at least `percent` of its shingles left, and the smaller one at least `percent` of the larger one's size:
+    what has less is out before any pairs are made, and pairs are made between neighbouring classes of size only.
+    Several thousand texts of one size, with hardly a rare shingle, that differ by a little more than the threshold
+    still cost a test of sizes for each of their pairs.
     """
     label = group.select("node", "l").distinct()
     spread = sets.join(label.select("node"), "node", "left_semi").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
@@ -229,12 +238,13 @@ def _open_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     size = size.join(rare.groupBy("node").agg(F.count("*").alias("r")), "node", "left").select("node", F.col("n").cast("long").alias("n"), (F.col("n") - F.coalesce("r", F.lit(0))).alias("m"))
     # a text is in one group for each of its bands at most; a pair is taken up in the first that both are in
     size = size.join(group.groupBy("node").agg(F.collect_set("main").alias("mains")), "node")
-    g = stored(group.join(size, "node"))
-    x = g.where("l <> main").select("main", F.col("node").alias("a"), F.col("l").alias("la"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("mains").alias("mains_a"))
+    step = F.floor(F.log("n") / F.lit(math.log(100 / percent)))
+    g = stored(group.join(size.where(F.col("m") * 100 >= F.col("n") * percent), "node").withColumn("step", step))
+    x = g.where("l <> main").select("main", F.col("node").alias("a"), F.col("l").alias("la"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("mains").alias("mains_a"), F.explode(F.array(*[F.col("step") + i for i in (-1, 0, 1)])).alias("step"))
     # with s shared: 100 s >= percent (na + nb - s)
     may = F.least("ma", "m") * (100 + percent) >= (F.col("na") + F.col("n")) * percent
     once = F.array_min(F.array_intersect("mains_a", "mains")) == F.col("main")
-    by_size = x.join(g, "main").where((F.col("la") != F.col("l")) & may & once).where((F.col("l") == F.col("main")) | (F.col("a") < F.col("node")))
+    by_size = x.join(g, ["main", "step"]).where((F.col("la") != F.col("l")) & may & once).where((F.col("l") == F.col("main")) | (F.col("a") < F.col("node")))
     by_size = by_size.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
     return by_rare.union(by_size).distinct()
 

@@ -2,11 +2,12 @@
 
 A window is WINDOW consecutive words. The smallest hash of the GRAM-word runs in a window is its anchor; windows that
 recur have anchors that recur, and anchors are few. Anchors are counted over all documents; runs of windows around an
-anchor that recurs are cut out as segments and dealt out by anchor, equal ones as one. Where they meet, windows found
-in two documents or more are confirmed word by word and compiled into Aho-Corasick automata, a shard of anchors at a
-time, and all segments of the shard are streamed through to locate every occurrence, with the first document that has
-it. An anchor with very many segments is dealt out by single windows instead. Words travel as 32-bit codes: windows
-that differ in one word only are taken for equal once in 2^32.
+anchor that recurs are cut out as segments, with their words as they are, and dealt out by anchor, equal ones as one.
+Where they meet, windows found in two documents or more are confirmed word by word and compiled into Aho-Corasick
+automata, a shard of anchors at a time, and all segments of the shard are streamed through to locate every occurrence,
+with the first document that has it. An anchor with very many segments is dealt out by single windows instead. Hashes
+only choose what meets: windows are equal when their words are. What was found goes back to the segments that asked by
+the 128-bit digest of their words.
 """
 
 from __future__ import annotations
@@ -21,11 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import NOT_SPACE, Words, mix64, places, ship, signed, slices, stored, table, utf8
-from .bloom import Bloom, of_column
+from .bloom import KEYS, of_column, opened
 
 WINDOW = 13
 GRAM = 5
-LOG_BITS = 26
 #: Segments of an anchor beyond which it is dealt out by window.
 HOT = 5000
 #: Segments that are compiled and streamed together.
@@ -50,14 +50,26 @@ class Anchors:
             whole = at[span - 1 :] - at[: len(at) - span + 1] == span - 1
             self.value, self.at = least[whole], at[: len(at) - span + 1][whole]
         self.words = w
-        #: 32 bits for each word; thirteen in a row tell windows apart
-        self.codes = (h >> np.uint64(32)).astype(np.uint32)
         self.row = w.text_of()[self.at] if len(self.at) else self.at
         # a hash of each text's words in their order
         mixed = h * places(int(w.counts.max(initial=0)) or 1, 9)[np.arange(len(h)) - np.repeat(w.first[:-1], w.counts)]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
         self.text = mix64(sums[w.first[1:]] - sums[w.first[:-1]] + w.counts.astype(np.uint64))
 
+    def spans(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
+        """The words first .. last of each run, joined by single spaces."""
+        w = self.words
+        lens = w.ends - w.starts
+        ends = np.cumsum(lens + 1)  # in a buffer where a space follows each word
+        flat = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
+        flat[np.arange(int(lens.sum())) + np.repeat(np.arange(len(lens)), lens)] = w.data[w.mask]
+        a, b = ends[first] - lens[first] - 1, ends[last] - 1
+        n = b - a
+        to = np.cumsum(n)
+        text = flat[np.arange(int(to[-1]) if len(to) else 0) + np.repeat(a - (to - n), n)]
+        offsets = np.concatenate([[0], to])
+        return pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text)]).cast(pa.string())
+
 
 def _anchors(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,32 +83,27 @@ def _anchors(window: int, gram: int):
     return run
 
 
-def _segments(shared, window: int, gram: int, log_bits: int):
+def _segments(shared, window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = Bloom(log_bits, shared.value)
+        bloom = opened(shared.value)
         for batch in batches:
             for part in slices(batch):
                 a = Anchors(part.column("text"), window, gram)
-                w = a.words
                 fresh = np.ones(len(a.value), bool)
                 fresh[1:] = (a.value[1:] != a.value[:-1]) | (a.row[1:] != a.row[:-1])
                 lead = np.flatnonzero(fresh)
                 tail = np.concatenate([lead[1:], [len(a.value)]]) - 1 if len(lead) else lead
-                hit = bloom.has(a.value[lead])
+                hit = bloom.has(mix64(a.value[lead]))
                 lead, tail = lead[hit], tail[hit]
                 first, last = a.at[lead], a.at[tail] + window - 1
-                n = last - first + 1
-                ends = np.cumsum(n)
-                codes = a.codes[np.arange(int(n.sum())) - np.repeat(ends - n, n) + np.repeat(first, n)]
-                offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
                 row = a.row[lead]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(a.value[lead])),
-                        pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(codes))]),
+                        a.spans(first, last),
                         part.column("doc").take(pa.array(row)),
                         pa.array(signed(a.text[row])),
-                        pa.array((first - w.first[row]).astype(np.int32)),
+                        pa.array((first - a.words.first[row]).astype(np.int32)),
                     ],
                     names=["anchor", "words", "doc", "text_key", "start"],
                 )
@@ -104,16 +111,17 @@ def _segments(shared, window: int, gram: int, log_bits: int):
     return run
 
 
-def locate(segments: list[tuple[int, bytes, int, int]], window: int) -> list[tuple[list[int], list[int]]]:
-    """For each (anchor, word codes, first document, last document): the places of windows that some document has
-    before the segment's last one, and for each the first document that has it. Segments of an anchor stand together,
-    and no window has two anchors: a segment alone under its anchor needs no search."""
+def locate(segments: list[tuple[int, str, int, int]], window: int) -> list[tuple[list[int], list[int]]]:
+    """For each (anchor, words, first document, last document): the places of windows that some document has before
+    the segment's last one, and for each the first document that has it. Segments of an anchor stand together, and no
+    window has two anchors: a segment alone under its anchor needs no search. Words are numbered as they come up."""
     import ahocorasick
 
     alone = [
         (i == 0 or segments[i - 1][0] != s[0]) and (i + 1 == len(segments) or segments[i + 1][0] != s[0]) for i, s in enumerate(segments)
     ]
-    coded = [None if lone else tuple(np.frombuffer(s[1], np.uint32).tolist()) for s, lone in zip(segments, alone, strict=True)]
+    numbers: dict[str, int] = {}
+    coded = [None if lone else tuple([numbers.setdefault(w, len(numbers)) for w in s[1].split(" ")]) for s, lone in zip(segments, alone, strict=True)]
     firsts: dict[tuple, int] = {}
     lasts: dict[tuple, int] = {}
     for ids, (_, _, first, last) in zip(coded, segments, strict=True):
@@ -133,9 +141,9 @@ def locate(segments: list[tuple[int, bytes, int, int]], window: int) -> list[tup
     if len(automaton):
         automaton.make_automaton()
     out = []
-    for ids, (_, codes, first, last) in zip(coded, segments, strict=True):
+    for ids, (_, words, first, last) in zip(coded, segments, strict=True):
         if ids is None:
-            n = len(codes) // 4 - window + 1 if first < last else 0
+            n = words.count(" ") + 2 - window if first < last else 0
             out.append((list(range(n)), [first] * n))
         else:
             found = [(end - window + 1, f) for end, f in automaton.iter(ids) if f < last] if len(automaton) else []
@@ -143,7 +151,7 @@ def locate(segments: list[tuple[int, bytes, int, int]], window: int) -> list[tup
     return out
 
 
-LOCATED = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("key", T.LongType()), T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("firsts", T.ArrayType(T.LongType()))])
+LOCATED = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("firsts", T.ArrayType(T.LongType()))])
 
 
 def _locate(window: int, shard: int):
@@ -152,9 +160,9 @@ def _locate(window: int, shard: int):
 
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             found = locate([(r[0], *r[2:]) for r in rows], window)
-            keep = [(r[0], r[1], p, f) for r, (p, f) in zip(rows, found, strict=True) if p]
-            cols = list(zip(*keep, strict=True)) or [[], [], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int32())), pa.array(cols[3], pa.list_(pa.int64()))], names=LOCATED.names)
+            keep = [(r[1], p, f) for r, (p, f) in zip(rows, found, strict=True) if p]
+            cols = list(zip(*keep, strict=True)) or [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.list_(pa.int32())), pa.array(cols[2], pa.list_(pa.int64()))], names=LOCATED.names)
 
         for batch in batches:
             for r in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "words", "first", "last")), strict=True):
@@ -168,15 +176,15 @@ def _locate(window: int, shard: int):
     return run
 
 
-def _split(shared, log_bits: int):
+def _split(shared):
     """Texts of documents that the filter says lose nothing are done with; the others travel on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = Bloom(log_bits, shared.value)
+        bloom = opened(shared.value)
         for batch in batches:
             for part in slices(batch):
                 a = Anchors(part.column("text"), 1, 1)
-                may = bloom.has(a.text)
+                may = bloom.has(a.text) & ~np.asarray(part.column("doc").is_null())
                 sums = [None if m else hashlib.sha256(b" ".join((t or "").encode().split())).hexdigest() for t, m in zip(part.column("text").to_pylist(), may, strict=True)]
                 text = part.column("text").take(pa.array(np.arange(len(may)), mask=~may))
                 yield pa.RecordBatch.from_arrays(
@@ -215,55 +223,58 @@ def _remove(window: int, keep_text: bool):
     return run
 
 
-def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, log_bits: int = LOG_BITS, hot: int = HOT, shard: int = SHARD) -> DataFrame:
+def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard: int = SHARD, keys: int = KEYS) -> DataFrame:
     """(doc, text_key, starts): where windows start that a document with a smaller id has as well. docs: (doc, text)."""
     spark = docs.sparkSession
     known = docs.where("doc is not null and text is not null")
     pairs = known.mapInArrow(_anchors(window, gram), T.StructType([T.StructField("anchor", T.LongType()), T.StructField("doc", T.LongType())]))
-    again = pairs.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
-    shared = spark.sparkContext.broadcast(of_column(again, "anchor", log_bits))
+    again = stored(pairs.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("anchor"))
+    shared = spark.sparkContext.broadcast(of_column(again, "anchor", mix=True, keys=keys))
     schema = T.StructType(
-        [T.StructField("anchor", T.LongType()), T.StructField("words", T.BinaryType()), T.StructField("doc", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("start", T.IntegerType())]
+        [T.StructField("anchor", T.LongType()), T.StructField("words", T.StringType()), T.StructField("doc", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("start", T.IntegerType())]
     )
-    segments = stored(known.mapInArrow(_segments(shared, window, gram, log_bits), schema).withColumn("key", F.xxhash64("words")))
-
-    def distinct(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("anchor", "key", "words").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    segments = stored(known.mapInArrow(_segments(shared, window, gram), schema))
 
     crowded = stored(segments.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"))
     if crowded.limit(1).count():
-        busy = segments.join(crowded, "anchor", "left_semi")
-        wins = F.transform(F.sequence(F.lit(0), (F.octet_length("words") / 4).cast("int") - window), lambda k: F.struct(k.alias("k"), F.substring(F.col("words"), k * 4 + 1, F.lit(4 * window)).alias("words")))
+        busy = segments.join(crowded, "anchor", "left_semi").withColumn("__w", F.split("words", " "))
+        wins = F.transform(F.sequence(F.lit(0), F.size("__w") - window), lambda k: F.struct(k.alias("k"), F.array_join(F.slice("__w", k + 1, window), " ").alias("words")))
         busy = busy.select(F.inline(wins), "doc", "text_key", "start")
-        busy = busy.select(F.xxhash64(F.lit(1), "words").alias("anchor"), "words", "doc", "text_key", (F.col("start") + F.col("k")).alias("start"), F.xxhash64("words").alias("key"))
+        busy = busy.select(F.xxhash64(F.lit(1), "words").alias("anchor"), "words", "doc", "text_key", (F.col("start") + F.col("k")).alias("start"))
         segments = segments.join(crowded, "anchor", "left_anti").select(busy.columns).union(busy)
-    # a segment that no two documents have, under an anchor of no other, has nothing to be found
-    found = distinct(segments).repartition("anchor").sortWithinPartitions("anchor").select("anchor", "key", "words", "first", "last").mapInArrow(_locate(window, shard), LOCATED)
-    here = segments.select("anchor", "key", "doc", "text_key", "start").join(found, ["anchor", "key"])
+    key = F.unhex(F.md5("words")).alias("key")  # words have one anchor, so the key needs no anchor beside it
+    distinct = segments.groupBy("anchor", "words").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    found = distinct.repartition("anchor").sortWithinPartitions("anchor").select("anchor", key, "words", "first", "last").mapInArrow(_locate(window, shard), LOCATED)
+    here = segments.select(key, "doc", "text_key", "start").join(found, "key")
     starts = F.transform(F.filter(F.arrays_zip("places", "firsts"), lambda x: x["firsts"] < F.col("doc")), lambda x: x["places"] + F.col("start"))
     here = here.select("doc", "text_key", starts.alias("s")).where(F.size("s") > 0)
     return here.groupBy("doc", "text_key").agg(F.flatten(F.collect_list("s")).alias("starts"))
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, log_bits: int = LOG_BITS, keep_text: bool = False, hot: int = HOT, shard: int = SHARD) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, keep_text: bool = False, hot: int = HOT, shard: int = SHARD, keys: int = KEYS) -> DataFrame:
     """key, n_words, n_removed and kept_sha256 for every row: words in windows that a document with a smaller key has
     are removed; windows are judged on the input. kept_sha256 is of the words left, joined by single spaces. With
     keep_text=True also `kept`, those words, and `whole`, that none was removed (kept is then null: see the text).
 
     Words are split at ASCII white space and compared as they are. Null texts have no words. Rows with a null key are
     left whole and prove nothing about others; rows that share a key don't prove anything about each other. Columns
-    beyond key and text don't matter; an empty table gives none. Keys are integers.
+    beyond key and text don't matter; an empty table gives none. Keys are integers. keys: what a broadcast filter may
+    hold; beyond it every segment and text is looked at where they meet, with the same result. A text is held in memory
+    as a whole, at some 80 bytes a byte while it is cut up.
     """
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(key).cast("long").alias("doc"), "text")
-    places_ = stored(repeated_windows(docs, window=window, gram=gram, log_bits=log_bits, hot=hot, shard=shard))
-    shared = spark.sparkContext.broadcast(of_column(places_, "text_key", log_bits))
+    places_ = stored(repeated_windows(docs, window=window, gram=gram, hot=hot, shard=shard, keys=keys))
+    shared = spark.sparkContext.broadcast(of_column(places_, "text_key", keys=keys))
     schema = T.StructType(
         [T.StructField("doc", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("text", T.StringType()), T.StructField("kept_sha256", T.StringType())]
     )
-    rows = docs.mapInArrow(_split(shared, log_bits), schema)
-    joined = rows.join(places_, ["doc", "text_key"], "left")
+    rows = docs.mapInArrow(_split(shared), schema)
+    # rows without a key match nothing, and are spread instead of meeting under null
+    rows = rows.withColumn("__none", F.col("doc").isNull()).withColumn("__key", F.when(F.col("doc").isNull(), F.monotonically_increasing_id()).otherwise(F.col("doc")))
+    at = places_.select(F.col("doc").alias("__key"), "text_key", "starts", F.lit(False).alias("__none"))
+    joined = rows.join(at, ["__none", "__key", "text_key"], "left").select("doc", "n_words", "text", "kept_sha256", "starts")
     out = [schema["doc"], schema["n_words"], T.StructField("n_removed", T.LongType()), schema["kept_sha256"]]
     out += [T.StructField("kept", T.StringType()), T.StructField("whole", T.BooleanType())] if keep_text else []
     return joined.mapInArrow(_remove(window, keep_text), T.StructType(out)).withColumnRenamed("doc", key)

@@ -95,9 +95,10 @@ def brute_lines(docs, least=40, most=5):
     return out
 
 
-@pytest.mark.parametrize("log_bits", [26, 18])
-def test_lines_against_brute_force(spark, log_bits):
-    got = lines.dedup_lines(frame(spark), log_bits=log_bits).collect()
+@pytest.mark.parametrize("keys,few", [(100_000_000, 1 << 19), (5, 1 << 19), (100_000_000, 0), (5, 0)])
+def test_lines_against_brute_force(spark, keys, few):
+    """By filters for all lines and by ranges of them; with repeated lines broadcast, and joined."""
+    got = lines.dedup_lines(frame(spark), keys=keys, few=few).collect()
     assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in got} == brute_lines(dict(enumerate(texts())))
     assert any(r["n_dropped"] for r in got)
     assert all(sha(r["text"] or "") == r["kept_sha256"] for r in got)
@@ -129,16 +130,57 @@ def brute_substrings(docs, n=13):
 
 @pytest.mark.parametrize("hot,shard", [(5000, 10_000), (0, 10_000), (2, 1)])
 def test_substrings_against_brute_force(spark, hot, shard):
-    got = substrings.remove_repeats(frame(spark), hot=hot, shard=shard, keep_text=True).collect()
+    got = substrings.remove_repeats(frame(spark), hot=hot, shard=shard, keep_text=True, keys=0 if hot == 2 else 1 << 20).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == brute_substrings(dict(enumerate(texts())))
     assert all(r["whole"] or sha(r["kept"]) == r["kept_sha256"] for r in got)
 
 
+def test_substrings_tells_words_apart_whose_hashes_collide(spark, monkeypatch):
+    """Where all words of one length have one hash, passages of different words must stay."""
+    monkeypatch.setattr(substrings.Words, "hashes", lambda self, seed: (self.ends - self.starts).astype(np.uint64))
+    base = [f"w{i}" for i in range(1, 10)] + ["x", "yy", "zzz"]
+    data = [(1, " ".join([*base, "INV0309455"])), (2, " ".join([*base, "INV0394037"])), (3, " ".join([*base, "INV0394037", "end"])), (4, " ".join(reversed(base)) + " tail")]
+    schema = pa.schema([("doc", pa.int64()), ("text", pa.string())])
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in data]), pa.array([t for _, t in data])], schema=schema)
+
+    class Shared:
+        value = None
+
+    segments = pa.Table.from_batches(list(substrings._segments(Shared, 13, 5)(iter([batch])))).to_pylist()
+    assert len({s["anchor"] for s in segments}) < len(segments)
+    rows = sorted({(s["anchor"], s["words"]) for s in segments})
+    held = [(a, w, min(s["doc"] for s in segments if s["words"] == w), max(s["doc"] for s in segments if s["words"] == w)) for a, w in rows]
+    found = {w: f for (_, w, _, _), f in zip(held, substrings.locate(held, 13), strict=True)}
+    assert found[data[0][1]] == ([], []) and found[data[1][1]][1] in ([2], []) and all(f[1] in ([], [2]) for f in found.values())
+    assert [2] in [f[1] for f in found.values()]
+
+
 def test_substrings_odd_rows(spark):
     assert sorted(r["n_removed"] for r in substrings.remove_repeats(odd(spark)).collect()) == [0] * 5
     assert substrings.remove_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 3000, 200_000])
+def test_filters_are_sized_from_their_keys(spark, n):
+    """One in fifty other keys at most is suspect, whatever the number of keys; beyond its bound there is no filter."""
+    from lettermill.llm import bloom
+
+    packed = bloom.of_column(spark.range(n).toDF("k"), "k", mix=True)
+    f = bloom.opened(packed)
+    other = bloom.mix64(np.arange(n, n + 50_000, dtype=np.uint64))
+    assert f.has(bloom.mix64(np.arange(n, dtype=np.uint64))).all() and f.has(other).mean() < 0.02
+    assert 8 * len(packed) == 1 << bloom.log_bits_for(n) and 8 * len(packed) <= max(1 << 18, 20 * n)
+    assert n == 0 or bloom.opened(bloom.of_column(spark.range(n).toDF("k"), "k", mix=True, keys=n - 1)).has(other).all()
+
+
+def test_a_full_filter_only_suspects_more(spark, monkeypatch):
+    """Lines are as by brute force even where the filters have a bit a line."""
+    monkeypatch.setattr(lines, "log_bits_for", lambda n: 18)
+    docs = {d: "\n".join([f"line {i} of document {d}, which no other document has" for i in range(700)] + ["a line that every document has, whatever else is in it"]) for d in range(300)}
+    got = lines.dedup_lines(frame(spark, [(d, t, None, None, None) for d, t in docs.items()])).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in got} == brute_lines(docs)
+
+
 def test_bloom_has_what_was_added():
     rng = np.random.default_rng(2)
     h = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
