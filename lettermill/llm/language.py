@@ -3,6 +3,10 @@
 Each language has a probability for every piece of a fixed public vocabulary. A word's probability in a language is
 summed over all its segmentations into pieces by the forward algorithm; a text's is the product over its words. The
 piece probabilities are fitted by expectation maximisation on a bounded sample of labelled documents.
+
+All sums are in logarithms, so that a word may be as long as it likes. Where no piece of the vocabulary reaches across
+a place in a word, every segmentation has a bound there and the sum is the product of both sides; words fall into short
+segments that way, and the forward algorithm steps through all segments of a batch at once.
 """
 
 from __future__ import annotations
@@ -19,13 +23,11 @@ from pyspark.sql import types as T
 
 from .base import Words, durable, ship, slices, table, utf8
 
-#: Bounds of the training sample for each language: whole documents, in the order of a hash of their ids.
+#: Bounds of the training sample for each language: documents in the order of a hash of their ids, and characters. No
+#: document brings more than a sixteenth of the characters.
 SAMPLE_DOCS = 1000
-SAMPLE_BYTES = 1 << 20
+SAMPLE_CHARS = 1 << 20
 ROUNDS = 4
-#: Words are scored in segments of at most so many bytes, pieces of at most so many.
-SEGMENT = 31
-PIECE = 16
 MARK = 0x20  # stands before a word's first byte, and for the vocabulary's word mark
 SMOOTH = 0.02
 #: Word bytes: ASCII letters and all bytes of other code points.
@@ -90,94 +92,105 @@ def public_pieces(path: str | None = None) -> list[bytes]:
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             raw = sp.id_to_piece(i).replace("▁", " ").lower().encode()
-            if 0 < len(raw) <= PIECE:
+            if raw:
                 pieces.add(raw)
     return sorted(pieces)
 
 
-class Segments:
-    """The distinct word segments of a column of texts, and which of them each text has."""
+class Lattice:
+    """The distinct words of a column of texts, cut into segments, and all pieces of a vocabulary in them.
+
+    `which` numbers the word of each word in the texts, `row` its text. An edge is a piece: it leads from node `src` to
+    node `dst`. Edges are sorted by their distance from the segment's begin, then by length; a run of equals in both
+    has no node twice on either side.
+    """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, vocabulary: Vocabulary, texts: pa.Array):
         texts = pc.utf8_lower(texts.fill_null("") if texts.null_count else texts)
         w = Words(*utf8(texts), LETTERS)
-        lens = w.ends - w.starts
-        parts = (lens + SEGMENT - 1) // SEGMENT
-        row = np.repeat(w.text_of(), parts)
-        k = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-        lead = k == 0
-        starts = np.repeat(w.starts, parts) + k * SEGMENT
-        ends = np.minimum(starts + SEGMENT, np.repeat(w.ends, parts))
-        w.starts, w.ends = starts, ends
-        h = w.hashes(5) ^ lead.astype(np.uint64)
-        _, first, self.which = np.unique(h, return_index=True, return_inverse=True)
-        self.row, self.rows = row, len(texts)
-        self.data, self.starts, self.ends, self.lead = w.data, starts[first], ends[first], lead[first]
-
-    def groups(self, most: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Numbers and bytes of segments that are equally long with their mark."""
-        size = self.ends - self.starts + self.lead
-        order = np.argsort(size, kind="stable")
-        cut = np.flatnonzero(np.diff(size[order])) + 1
-        for same in np.split(order, cut) if len(order) else ():
-            n = int(size[same[0]])
-            for i in range(0, len(same), most):
-                pick = same[i : i + most]
-                at = self.starts[pick][:, None] + np.arange(n) - self.lead[pick][:, None]
-                grid = self.data[np.maximum(at, 0)]
-                grid[self.lead[pick], 0] = MARK
-                yield pick, grid
-
-
-def edges(vocabulary: Vocabulary, grid: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(from, to, rows, pieces) of every piece in every row, in the order of `from`."""
-    n = grid.shape[1]
-    for i in range(n):
-        rows = np.arange(len(grid))
-        h = np.zeros(len(grid), np.uint64)
-        for j in range(i, min(n, i + PIECE)):
-            h = h * _STEP + grid[rows, j] + np.uint64(1)
+        _, first, self.which = np.unique(w.hashes(5), return_index=True, return_inverse=True)
+        self.row, self.rows, self.words = w.text_of(), len(texts), len(first)
+        size = w.ends[first] - w.starts[first] + 1  # with the mark
+        begin = np.cumsum(size) - size
+        total = int(size.sum())
+        place = np.arange(total) - np.repeat(begin, size)
+        data = w.data[np.maximum(np.repeat(w.starts[first], size) + place - 1, 0)] if total else np.zeros(0, np.uint8)
+        data[place == 0] = MARK
+        end = np.repeat(begin + size, size)
+        src, length, ids = self._pieces(vocabulary, data, end)
+        inside = length > 1  # places that a piece reaches across
+        across = np.cumsum(np.bincount(src[inside] + 1, minlength=total + 1) - np.bincount((src + length)[inside], minlength=total + 1))[:total]
+        self.start = np.flatnonzero(across == 0)  # of each segment
+        segment = np.cumsum(across == 0) - 1
+        self.word = np.repeat(np.arange(self.words), size)[self.start]
+        # each segment has an end of its own, so that nodes are places shifted by the segment's number
+        seg = segment[src]
+        far = src - self.start[seg]
+        order = np.lexsort((length, far))
+        self.src, self.dst, self.ids = (src + seg)[order], (src + seg + length)[order], ids[order]
+        far, length = far[order], length[order]
+        cut = np.flatnonzero((far[1:] != far[:-1]) | (length[1:] != length[:-1])) + 1
+        self.runs = list(zip([0, *cut.tolist()], [*cut.tolist(), len(far)], strict=True)) if len(far) else []
+        self.nodes = total + len(self.start)
+        self.begins = self.start + np.arange(len(self.start))
+        self.ends = np.append(self.start[1:], total)[: len(self.start)] + np.arange(len(self.start))
+        self.edge_segment = seg[order]
+
+    @staticmethod
+    def _pieces(vocabulary: Vocabulary, data: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin, length and number of every piece: from all places at once, a byte further in each step."""
+        at = np.arange(len(data))
+        h = np.zeros(len(data), np.uint64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n = 0
+        while len(at):
+            h = h * _STEP + data[at + n] + np.uint64(1)
+            n += 1
             slot = vocabulary.find(h)
             alive = slot >= 0
-            rows, h = rows[alive], h[alive]
-            if not len(rows):
-                break
             ids = vocabulary.ids[slot[alive]]
             whole = ids >= 0
-            if whole.any():
-                yield i, j + 1, rows[whole], ids[whole]
-
-
-def log_likelihood(vocabulary: Vocabulary, probs: np.ndarray, segments: Segments) -> np.ndarray:
-    """Of every distinct segment in every language, summed over all segmentations. probs: pieces x languages."""
-    out = np.zeros((len(segments.starts), probs.shape[1]))
-    for pick, grid in segments.groups():
-        alpha = np.zeros((grid.shape[1] + 1, len(grid), probs.shape[1]))
-        alpha[0] = 1.0
-        for i, j, rows, ids in edges(vocabulary, grid):
-            alpha[j, rows] += alpha[i, rows] * probs[ids]
-        out[pick] = np.log(alpha[-1])
+            found.append((at[alive][whole], np.full(int(whole.sum()), n), ids[whole]))
+            alive &= at + n < end[at]
+            at, h = at[alive], h[alive]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+    def forward(self, log_probs: np.ndarray) -> np.ndarray:
+        """At each node the logarithm of the sum over all ways to it. log_probs: pieces, or pieces x languages."""
+        a = np.full((self.nodes, *log_probs.shape[1:]), -np.inf)
+        a[self.begins] = 0.0
+        for i, j in self.runs:
+            dst = self.dst[i:j]
+            a[dst] = np.logaddexp(a[dst], a[self.src[i:j]] + log_probs[self.ids[i:j]])
+        return a
+
+    def backward(self, log_probs: np.ndarray) -> np.ndarray:
+        b = np.full((self.nodes, *log_probs.shape[1:]), -np.inf)
+        b[self.ends] = 0.0
+        for i, j in reversed(self.runs):
+            src = self.src[i:j]
+            b[src] = np.logaddexp(b[src], b[self.dst[i:j]] + log_probs[self.ids[i:j]])
+        return b
+
+
+def log_likelihood(lattice: Lattice, log_probs: np.ndarray) -> np.ndarray:
+    """Of every distinct word in every language, summed over all segmentations. log_probs: pieces x languages."""
+    whole = lattice.forward(log_probs)[lattice.ends]
+    out = np.zeros((lattice.words, log_probs.shape[1]))
+    np.add.at(out, lattice.word, whole)
     return out
 
 
 def fit(vocabulary: Vocabulary, texts: pa.Array, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of one language by expectation maximisation, from even ones."""
-    seg = Segments(texts)
-    times = np.bincount(seg.which, minlength=len(seg.starts)).astype(float)
-    lattices = [(pick, grid.shape[1], list(edges(vocabulary, grid))) for pick, grid in seg.groups()]
+    x = Lattice(vocabulary, texts)
+    times = np.bincount(x.which, minlength=x.words).astype(float)[x.word]
     p = np.full(vocabulary.size, 1.0 / vocabulary.size)
     for _ in range(rounds):
-        got = np.zeros(vocabulary.size)
-        for pick, n, lattice in lattices:
-            a, b = np.zeros((n + 1, len(pick))), np.zeros((n + 1, len(pick)))
-            a[0] = b[n] = 1.0
-            for i, j, rows, ids in lattice:
-                a[j, rows] += a[i, rows] * p[ids]
-            for i, j, rows, ids in reversed(lattice):
-                b[i, rows] += b[j, rows] * p[ids]
-            share = times[pick] / a[n]
-            for i, j, rows, ids in lattice:
-                got += np.bincount(ids, a[i, rows] * p[ids] * b[j, rows] * share[rows], minlength=vocabulary.size)
+        log_p = np.log(p)
+        a, b = x.forward(log_p), x.backward(log_p)
+        share = np.exp(a[x.src] + log_p[x.ids] + b[x.dst] - a[x.ends][x.edge_segment]) * times[x.edge_segment]
+        got = np.bincount(x.ids, share, minlength=vocabulary.size)
         p = (got + SMOOTH) / (got.sum() + SMOOTH * vocabulary.size)
     return p
 
@@ -186,40 +199,42 @@ def fit(vocabulary: Vocabulary, texts: pa.Array, rounds: int = ROUNDS) -> np.nda
 class Model:
     vocabulary: Vocabulary
     languages: list[str]
-    probs: np.ndarray
+    log_probs: np.ndarray  # pieces x languages
 
 
-def training_sample(docs: DataFrame, labelled: DataFrame, key: str, most_docs: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """(label, text) of at most most_docs whole documents and about most_bytes of text for each label, chosen by a hash
-    of the key. labelled: (key, label, n), n the bytes of the text. The smallest hashes are cut out by a threshold from
-    each label's count before rows of a label meet; texts are only read for the few that are chosen, whose ids are
-    broadcast."""
-    most_docs = min(most_docs, 1000)
+def training_sample(docs: DataFrame, labelled: DataFrame, key: str, most_docs: int = SAMPLE_DOCS, most_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(label, text) of at most most_docs documents and most_chars characters for each label, chosen by a hash of the
+    key; a text brings no more than its first sixteenth of most_chars. labelled: (key, label, n), n the characters of
+    the text. The smallest hashes are cut out by a threshold from each label's count before rows of a label meet; texts
+    are only read for the few that are chosen, whose ids are broadcast. Other columns of docs don't matter."""
+    each = max(1, most_chars // 16)
+    docs = docs.select(F.col(key).alias("__key"), "text")
     u = F.shiftrightunsigned(F.xxhash64(F.col(key)), 1)
     counts = labelled.groupBy("label").count().collect()  # a row for each label, as the model will have
     if not counts:
         return docs.select(F.lit(None).cast(labelled.schema["label"].dataType).alias("label"), "text").limit(0)
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1.0, (4.0 * most_docs + 100) / r["count"]))])
-    order = Window.partitionBy("label").orderBy("__u", F.col(key))
-    few = labelled.where(u <= F.lit(float(1 << 63)) * share[F.col("label")]).select(key, "label", "n", u.alias("__u"))
+    order = Window.partitionBy("label").orderBy("__u", "__id")
+    few = labelled.where(u <= F.lit(float(1 << 63)) * share[F.col("label")]).select(F.col(key).alias("__id"), "label", F.least("n", F.lit(each)).alias("__n"), u.alias("__u"))
     few = few.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= most_docs)
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    few = few.withColumn("__before", before).where(F.col("__before") < most_bytes).select(F.col(key).alias("__key"), "label")
-    few = durable(few)
-    return docs.join(F.broadcast(few), F.col(key) == F.col("__key")).select("label", "text")
+    few = few.withColumn("__sum", F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("__sum") <= most_chars)
+    few = durable(few.select("__id", "label"))
+    return docs.join(F.broadcast(few), F.col("__key") == F.col("__id")).select("label", F.substring("text", 1, each).alias("text"))
 
 
-def train(docs: DataFrame, *, key: str = "doc_id", label: str = "lang", path: str | None = None) -> Model:
-    """Learn from (text, label) of docs, within the bounds of training_sample; rows with a null in either are left out.
-    Without any labelled row the model knows no language."""
+def train(docs: DataFrame, *, key: str = "doc_id", label: str = "lang", path: str | None = None, most_docs: int = SAMPLE_DOCS, most_chars: int = SAMPLE_CHARS) -> Model:
+    """Learn from (text, label) of docs, within the bounds of training_sample; rows with a null in either, or in the
+    key, are left out. Without any labelled row the model knows no language. Repeated rows count as often as they
+    occur; columns beyond these three don't matter, whatever their names."""
+    known = docs.select(F.col(key).alias("__id"), F.col(label).alias("__label"), "text").where("__label is not null and text is not null and __id is not null")
+    marks = known.select("__id", F.col("__label").alias("label"), F.length("text").alias("n"))
     texts: dict[str, list[str]] = {}
-    known = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull() & F.col(key).isNotNull())
-    for r in training_sample(known, known.select(key, F.col(label).alias("label"), F.octet_length("text").alias("n")), key).collect():
+    for r in training_sample(known, marks, "__id", most_docs, most_chars).collect():
         texts.setdefault(r["label"], []).append(r["text"])
     vocabulary = Vocabulary.of(public_pieces(path))
     names = sorted(x for x in texts if any(any(c.isalpha() for c in t) for t in texts[x]))
-    probs = np.stack([fit(vocabulary, pa.array(sorted(texts[x]), pa.string())) for x in names], axis=1) if names else np.zeros((vocabulary.size, 0))
-    return Model(vocabulary, names, probs)
+    probs = np.stack([fit(vocabulary, pa.array(sorted(texts[x]), pa.string())) for x in names], axis=1) if names else np.ones((vocabulary.size, 0))
+    return Model(vocabulary, names, np.log(probs))
 
 
 def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -228,12 +243,12 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
     if not model.languages or not n:
         return ["und"] * n, np.zeros(n)
-    seg = Segments(texts)
+    lattice = Lattice(model.vocabulary, texts)
     total = np.zeros((n, len(model.languages)))
-    if len(seg.which):
-        each = log_likelihood(model.vocabulary, model.probs, seg)[seg.which]
+    if lattice.words:
+        each = log_likelihood(lattice, model.log_probs)[lattice.which]
         for k in range(total.shape[1]):
-            total[:, k] = np.bincount(seg.row, each[:, k], minlength=n)
+            total[:, k] = np.bincount(lattice.row, each[:, k], minlength=n)
     best = total.argmax(axis=1)
     share = 1.0 / np.exp(total - total[np.arange(n), best][:, None]).sum(axis=1)
     return [model.languages[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)], np.where(lettered, share, 0.0)
@@ -241,8 +256,9 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 def identify(docs: DataFrame, model: Model, *, key: str = "doc_id") -> DataFrame:
     """key, lang_pred and score (0 to 1) for every row. `und` and 0 where the text is null or has no letter. Equal
-    likelihoods: the first language by name. Words are scored in segments of SEGMENT bytes, so a text without white
-    space costs no more than any other; repeated rows and null keys pass through; an empty table gives none."""
+    likelihoods: the first language by name. Repeated rows and null keys pass through; columns beyond key and text
+    don't matter; an empty table gives none. A batch is held in memory at some 200 bytes for each byte of its distinct
+    words; a stretch without bounds, as of one letter over and over, is stepped through in some 20 microseconds a byte."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)

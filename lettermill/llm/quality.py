@@ -23,9 +23,10 @@ from .language import fold, training_sample
 CHUNK = 256
 WIDTH = 5
 FILTERS = 8
-#: Bounds of the training sample for each class: whole documents, in the order of a hash of their ids.
+#: Bounds of the training sample for each class: documents in the order of a hash of their ids, and characters. No
+#: document brings more than a sixteenth of the characters.
 SAMPLE_DOCS = 1000
-SAMPLE_BYTES = 3 << 20
+SAMPLE_CHARS = 3 << 20
 EPOCHS = 40
 BATCH = 64
 
@@ -155,14 +156,14 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality") -> Network:
+def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality", most_docs: int = SAMPLE_DOCS, most_chars: int = SAMPLE_CHARS) -> Network:
     """Learn `label` (0 or 1) from a bounded sample of labelled texts of each class. Rows with a null key, text or
-    label are left out; of contradictory labels of one document each counts. Without labels of both classes every
-    text gets the mean label (0.5 without any)."""
-    docs = docs.select(key, "text").where(F.col(key).isNotNull() & F.col("text").isNotNull())
-    marks = labels.where(F.col(label).isin(0, 1)).select(F.col(key), F.col(label).cast("int").alias("label")).distinct()
-    known = docs.select(key, F.octet_length("text").alias("n")).join(marks, key)
-    rows = training_sample(docs, known, key, SAMPLE_DOCS, SAMPLE_BYTES).collect()
+    label are left out; of contradictory labels of one document each counts, of equal ones one. Without labels of both
+    classes every text gets the mean label (0.5 without any). Columns beyond these don't matter, whatever their names."""
+    docs = docs.select(F.col(key).alias("__id"), "text").where("__id is not null and text is not null")
+    marks = labels.select(F.col(key).alias("__id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)").distinct()
+    known = docs.select("__id", F.length("text").alias("n")).join(marks, "__id")
+    rows = training_sample(docs, known, "__id", most_docs, most_chars).collect()
     rows = sorted((r["text"].encode(), r["label"]) for r in rows)
     return fit([t for t, _ in rows], [y for _, y in rows])
 

@@ -1,10 +1,12 @@
 """A deterministic, sharded WARC writer, and a reader of its archives.
 
-Records are dealt out by ranges of the page id and written in its order, each as a gzip member of its own. A file is
-rolled when its compressed size passes a limit. Tasks write under temporary names that no other attempt shares; the
-driver then moves the files that the successful attempts named to their final names and writes a manifest. Headers
-and digests are computed anew from the payload. Of pages with equal payloads one is a response and the others revisit
-records that refer to it.
+Records are dealt out by ranges of the page id and written in its order, each as a gzip member of its own. How many
+ranges there are follows from the bytes of all payloads, and their bounds are exact quantiles of ids that a hash chose:
+the same pages give the same files, however they are partitioned and whatever Spark's settings are. A file is rolled
+when its compressed size passes a limit. Tasks write under temporary names that no other attempt shares; when all are
+done, tasks move the files that the successful attempts named to their final names, and the driver writes a manifest.
+Headers and digests are computed anew from the payload. Of pages with equal payloads one is a response and the others
+revisit records that refer to it.
 """
 
 from __future__ import annotations
@@ -17,16 +19,24 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import durable, range_cells, shared_dir, ship, shuffle_partitions, table
+from .base import durable, range_of, scratch, ship, table
 
 #: Compressed bytes after which a file is closed.
-ROLL_BYTES = 8 << 20
+ROLL_BYTES = 1 << 30
+#: Payload bytes of a range, and how many ranges there are at most; beyond that ranges get larger. A range is a task's.
+CELL_BYTES = 4 << 20
+MOST_CELLS = 16_000
+#: Distinct ids by which a range's bounds are found, on average; the driver holds those of all ranges.
+CELL_SAMPLE = 64
+#: A range with so many times the mean number of rows is dealt out once more, by a hash of the record.
+CROWDED = 4
 #: Equal payloads of fewer bytes are written in full each time.
 REVISIT_BYTES = 1000
 #: No clock enters an archive: the same pages give the same bytes.
@@ -89,9 +99,9 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 class _File:
     """An archive in progress, under a temporary name."""
 
-    def __init__(self, folder: str, name: str, attempt: str):
+    def __init__(self, folder: str, inner: str, name: str):
         self.fs, base = _filesystem(folder)
-        self.name, self.temporary = name, f"_temporary/{attempt}-{name}"
+        self.name, self.temporary = name, f"{inner}/{uuid.uuid4().hex}-{name}"
         self.out = self.fs.open_output_stream(f"{base}/{self.temporary}", compression=None)
         self.records, self.bytes, self.sum = 0, 0, hashlib.sha256()
 
@@ -106,22 +116,25 @@ class _File:
         return self.name, self.temporary, self.records, self.bytes, self.sum.hexdigest()
 
 
-def _writer(folder: str, roll_bytes: int):
+def _writer(folder: str, inner: str, roll_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        attempt = uuid.uuid4().hex
-        cell = TaskContext.get().partitionId()
-        done, now, seq = [], None, 0
-        refers: tuple | None = None
+        done, now, cell, seq = [], None, None, 0
+        page, refers = None, {}  # what payloads of this page refer to, by digest
         for batch in batches:
-            for page, to, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "refers_to", "url", "html")), strict=True):
-                if to is not None:  # what the page that follows refers to
-                    refers = page, to
+            for part, own, to, digest, url, html in zip(*(batch.column(c).to_pylist() for c in ("part", "page_id", "refers_to", "digest", "url", "html")), strict=True):
+                if own != page:
+                    page, refers = own, {}
+                if digest is not None:
+                    refers[digest] = to
                     continue
+                if part != cell:
+                    if now:
+                        done.append(now.close())
+                    now, cell, seq = None, part, 0
                 if now is None:
-                    now, seq = _File(folder, f"part-{cell:05d}-{seq:04d}.warc.gz", attempt), seq + 1
-                now.add(record(page, url, (html or "").encode(), refers[1] if refers and refers[0] == page else None))
+                    now, seq = _File(folder, inner, f"part-{cell:06d}-{seq:05d}.warc.gz"), seq + 1
+                payload = (html or "").encode()
+                now.add(record(own, url, payload, refers.get(hashlib.sha1(payload).hexdigest()) if refers else None))
                 if now.bytes >= roll_bytes:
                     done.append(now.close())
                     now = None
@@ -133,39 +146,105 @@ def _writer(folder: str, roll_bytes: int):
     return run
 
 
-def write_warc(pages: DataFrame, folder: str, *, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> list[dict]:
+def _mover(folder: str):
+    """Moves files to their final names; one that an earlier attempt has moved stays where it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        fs, base = _filesystem(folder)
+        for batch in batches:
+            for name, temporary in zip(batch.column("name").to_pylist(), batch.column("temporary").to_pylist(), strict=True):
+                if fs.get_file_info(f"{base}/{temporary}").type != pafs.FileType.NotFound:
+                    fs.move(f"{base}/{temporary}", f"{base}/{name}")
+                elif fs.get_file_info(f"{base}/{name}").type == pafs.FileType.NotFound:
+                    raise FileNotFoundError(f"{base}/{temporary}")
+            yield batch
+
+    return run
+
+
+@dataclass
+class Deal:
+    """How pages are dealt out: by ranges of the page id, those without an id as the last range; a crowded range has
+    further parts."""
+
+    cuts: list[int]
+    #: Of a crowded range: where its further parts begin, and how many parts it has in all.
+    crowded: dict[int, tuple[int, int]]
+    parts: int
+
+    @staticmethod
+    def of(pages: DataFrame, cells: int) -> Deal:
+        n = max(1, pages.count())
+        u = F.shiftrightunsigned(F.xxhash64(F.lit(23), F.col("page_id")), 1)
+        chosen = pages.where(F.col("page_id").isNotNull() & (u <= F.lit(min(1.0, cells * CELL_SAMPLE / n) * float(1 << 63))))
+        ids = sorted(r[0] for r in chosen.select("page_id").distinct().collect()) if cells > 1 else []
+        deal = Deal(sorted({ids[len(ids) * i // cells] for i in range(1, cells)}) if ids else [], {}, 0)
+        deal.parts = len(deal.cuts) + 2
+        for r in sorted(pages.groupBy(deal.cell().alias("cell")).count().collect()):
+            more = -(-r["count"] * cells // n)
+            if more > CROWDED:
+                deal.crowded[r["cell"]] = deal.parts, more
+                deal.parts += more - 1
+        return deal
+
+    def cell(self) -> Column:
+        return F.when(F.col("page_id").isNull(), F.lit(len(self.cuts) + 1)).otherwise(range_of(F.col("page_id"), self.cuts)).cast("int")
+
+    def _of(self, which: int, otherwise: int) -> Column:
+        if not self.crowded:
+            return F.lit(otherwise)
+        return F.coalesce(F.create_map(*[F.lit(x) for cell, two in self.crowded.items() for x in (cell, two[which])])[F.col("cell")], F.lit(otherwise))
+
+    def further(self) -> Column:
+        """How many parts the range in column `cell` has."""
+        return self._of(1, 1)
+
+    def part(self, number: Column) -> Column:
+        """The part of a row of column `cell`, by its number within the range's parts."""
+        return F.when(number == 0, F.col("cell")).otherwise(self._of(0, 0) + number - 1).cast("int").alias("part")
+
+
+def write_warc(pages: DataFrame, folder: str, *, roll_bytes: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES, cell_bytes: int = CELL_BYTES) -> list[dict]:
     """Write all pages (page_id, url, html) under `folder`, a URI that all machines share; returns the manifest.
 
     A null html is an empty payload; a null url has no target header; null page_ids get no page header and are never
     revisits. Rows of the same page_id are records of their own: where they hold the largest page_id of a payload they
     are all responses. An empty table gives no files. Other columns don't matter. Only digests are shuffled to find
-    equal payloads; the pages themselves are shuffled once. The driver holds a line for each file.
+    equal payloads; the pages themselves are shuffled once. The driver holds a line for each file. A payload is held in
+    memory as a whole, some four times. If writing fails, its temporary files are deleted and no manifest is written.
     """
     spark = pages.sparkSession
     ship(spark)
+    pages = pages.select("page_id", "url", "html")
     html = F.coalesce(F.col("html"), F.lit(""))
     key = (F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("n"))
     sums = pages.where(F.col("page_id").isNotNull() & (F.octet_length(html) >= revisit_bytes)).select("page_id", *key)
     groups = durable(sums.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
-    revisits = sums.join(groups, ["digest", "n"]).where("page_id < refers_to").select("page_id", "refers_to").distinct()
-    cells = shuffle_partitions(spark)
-    rows = pages.select("page_id", F.lit(None).cast("long").alias("refers_to"), "url", "html")
-    rows = rows.unionByName(revisits.select("page_id", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html")))
-    cuts, cell = range_cells(pages, "page_id", cells)
-    rows = rows.repartitionById(max(cells, len(cuts) + 1), cell).sortWithinPartitions(F.asc_nulls_last("page_id"), F.desc_nulls_last("refers_to"), "url", "html")
-    import pyarrow.fs as pafs
-
+    revisits = sums.join(groups, ["digest", "n"]).where("page_id < refers_to").select("page_id", "refers_to", "digest").distinct()
+    total = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
+    deal = Deal.of(pages, max(1, min(MOST_CELLS, -(-total // cell_bytes))))
+    none = F.lit(None).cast("string")
+    rows = pages.withColumn("cell", deal.cell())
+    rows = rows.select("page_id", F.lit(None).cast("long").alias("refers_to"), none.alias("digest"), "url", "html", deal.part(F.pmod(F.xxhash64("url", "html"), deal.further())))
+    # what a page's payloads refer to goes ahead of it, to every part of its range
+    marks = revisits.withColumn("cell", deal.cell()).withColumn("number", F.explode(F.sequence(F.lit(0), deal.further() - 1)))
+    marks = marks.select("page_id", "refers_to", "digest", none.alias("url"), none.alias("html"), deal.part(F.col("number")))
+    rows = rows.unionByName(marks).repartitionById(deal.parts, F.col("part")).sortWithinPartitions("part", F.asc_nulls_last("page_id"), F.asc_nulls_last("digest"), "url", "html")
     fs, base = _filesystem(folder)
-    fs.create_dir(f"{base}/_temporary")
-    files = [r.asDict() for r in rows.mapInArrow(_writer(folder, roll_bytes), FILES).collect()]
-    for f in files:  # commit: only names that a successful attempt returned
-        fs.move(f"{base}/{f['temporary']}", f"{base}/{f['name']}")
-    files = sorted(({k: v for k, v in f.items() if k != "temporary"} for f in files), key=lambda f: f["name"])
-    with fs.open_output_stream(f"{base}/manifest.json.tmp") as out:
-        out.write(json.dumps({"files": files}, indent=1).encode())
-    fs.move(f"{base}/manifest.json.tmp", f"{base}/manifest.json")
-    if fs.get_file_info(f"{base}/_temporary").type == pafs.FileType.Directory:
-        fs.delete_dir(f"{base}/_temporary")
+    inner = f"_temporary-{uuid.uuid4().hex}"
+    fs.create_dir(f"{base}/{inner}")
+    try:
+        written = durable(rows.mapInArrow(_writer(folder, inner, roll_bytes), FILES))
+        n = written.count()
+        moved = written.repartition(max(1, min(n, 1000)), "name").mapInArrow(_mover(folder), FILES).drop("temporary").collect() if n else []
+        files = sorted((r.asDict() for r in moved), key=lambda f: f["name"])
+        with fs.open_output_stream(f"{base}/{inner}/manifest.json") as out:
+            out.write(json.dumps({"files": files}, indent=1).encode())
+        fs.move(f"{base}/{inner}/manifest.json", f"{base}/manifest.json")
+    finally:
+        fs.delete_dir(f"{base}/{inner}")
     return files
 
 
@@ -257,7 +336,7 @@ def read_warc(spark: SparkSession, folder: str, *, payload: bool = True) -> Data
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    folder = scratch(spark)
     write_warc(table(spark, sf_dir, "pages"), folder)
     return read_warc(spark, folder, payload=False).drop("payload", "url")
 

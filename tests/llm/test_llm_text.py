@@ -92,7 +92,7 @@ def test_unit_tokenizer_equals_the_tokenizer(parts):
 
 def test_unit_tokenizer_keeps_special_marks_and_forgets():
     tok = packing.UnitTokenizer(packing.tokenizer_path(), 50)
-    for t in ["<|endoftext|> A<|ENDOFTEXT|>b", *(f"word{i} thing{i}" for i in range(200))]:
+    for t in ["<|endoftext|> A<|ENDOFTEXT|>b", *(f"word{i} thing{i}" for i in range(200)), " ".join(f"unit{i}" for i in range(5000)), "few again"]:
         assert tok.encode(pa.array([t]))[0].tolist() == tok.tok.encode(t, add_special_tokens=False).ids
 
 
@@ -136,7 +136,7 @@ def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame(data, "page_id long, url string, html string")
     files = warc.write_warc(pages, str(tmp_path / "a"), roll_bytes=600)
     assert sum(f["records"] for f in files) == len(data) and len(files) > 2
-    assert {p.name for p in (tmp_path / "a").iterdir()} == {f["name"] for f in files} | {"manifest.json"}
+    assert {p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith(".")} == {f["name"] for f in files} | {"manifest.json"}
     got = warc.read_warc(spark, str(tmp_path / "a")).collect()
     kinds = sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in got), key=str)
     assert kinds == sorted([(1, "revisit", 7), (2, "revisit", 7), (7, "response", None), (7, "response", None), *((i, "response", None) for i in (3, 4, 5, 6, 8, None))], key=str)
@@ -149,6 +149,37 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.write_warc(pages.limit(0), str(tmp_path / "c")) == [] and warc.read_warc(spark, str(tmp_path / "c")).count() == 0
 
 
+def test_warc_files_do_not_depend_on_partitions(spark, tmp_path):
+    """The same bytes for 300,000 rows under two partitionings and two settings, with crowded ranges and null ids."""
+    from pyspark.sql import functions as F
+
+    pages = spark.range(300_000).select(
+        F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 3 == 0, 77).otherwise(F.col("id")).alias("page_id"),
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"),
+        F.concat(F.lit("page "), (F.col("id") % 5000).cast("string")).alias("html"),
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    one = warc.write_warc(pages.repartition(3), str(tmp_path / "a"), revisit_bytes=5, cell_bytes=1 << 18, roll_bytes=200_000)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+        two = warc.write_warc(pages.repartition(11), str(tmp_path / "b"), revisit_bytes=5, cell_bytes=1 << 18, roll_bytes=200_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert one == two and len(one) > 12 and sum(f["records"] for f in one) == 300_000
+    assert max(f["records"] for f in one) < 90_000  # the id of a third of all rows is in several files
+    some = warc.read_warc(spark, str(tmp_path / "a"), payload=False).where("page_id = 77 or page_id is null").groupBy("page_id", "record_type").count().collect()
+    assert {(r["page_id"], r["record_type"]): r["count"] for r in some} == {(None, "response"): 30_000, (77, "revisit"): 90_000}
+
+
+def test_warc_failure_leaves_nothing_behind(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    pages = spark.range(10).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") < 9, "x").otherwise(F.raise_error(F.lit("damaged")).cast("string")).alias("html"))
+    with pytest.raises(Exception, match="damaged"):
+        warc.write_warc(pages, str(tmp_path / "a"))
+    assert not [p for p in (tmp_path / "a").rglob("*") if p.is_file()] if (tmp_path / "a").exists() else True
+
+
 def test_sharding(spark):
     from pyspark.sql import functions as F
 
@@ -178,16 +209,35 @@ def test_sharding_numbers_runs_without_gaps(spark, monkeypatch):
 
 
 def test_forward_sums_all_segmentations():
-    pieces = [b"a", b"b", b"ab", b" a", b" ", b"ba"]
+    """Also for words beyond any segment's length, in logarithms where sums of products would underflow."""
+    pieces = [b"a", b"b", b"c", b"ab", b" a", b" ", b"ba", b"bbb", b"abababababababababababababababababab"]
     vocabulary = language.Vocabulary.of(pieces)
-    p = np.array([[0.1], [0.2], [0.3], [0.05], [0.15], [0.2]])
-    seg = language.Segments(pa.array(["aba"]))
-    score = lambda s: p[pieces.index(s), 0]
+    rng = np.random.default_rng(5)
+    p = rng.uniform(0.001, 0.2, (len(pieces), 3))
+    texts_ = ["aba", "c ab", "ab" * 40, "abc" * 300, "a" * 2000, "", "x1y" if False else "bbbb"]
 
     def total(x):
-        return 1.0 if not x else sum(score(q) * total(x[len(q) :]) for q in pieces if x.startswith(q))
+        """log of the sum over all segmentations, place by place."""
+        best = np.full((len(x) + 1, 3), -np.inf)
+        best[0] = 0
+        for i in range(len(x)):
+            for k, q in enumerate(pieces):
+                if x.startswith(q, i):
+                    best[i + len(q)] = np.logaddexp(best[i + len(q)], best[i] + np.log(p[k]))
+        return best[-1]
+
+    lattice = language.Lattice(vocabulary, pa.array(texts_))
+    each = language.log_likelihood(lattice, np.log(p))[lattice.which]
+    for r, t in enumerate(texts_):
+        assert np.allclose(each[lattice.row == r].sum(axis=0), sum((total(b" " + w.encode()) for w in t.split()), np.zeros(3)), rtol=1e-9)
 
-    assert np.allclose(np.exp(language.log_likelihood(vocabulary, p, seg))[0, 0], total(b" aba"))
+
+def test_expectation_maximisation_raises_the_likelihood():
+    vocabulary = language.Vocabulary.of([b"a", b"b", b"ab", b" ", b" a"])
+    data = pa.array(["ab ab a b", "abab b"])
+    lattice = language.Lattice(vocabulary, data)
+    worth = [language.log_likelihood(lattice, np.log(language.fit(vocabulary, data, rounds))[:, None])[lattice.which].sum() for rounds in range(1, 6)]
+    assert all(y >= x - 0.05 for x, y in zip(worth, worth[1:], strict=False)) and abs(language.fit(vocabulary, data).sum() - 1) < 1e-9
 
 
 def test_language(spark):
@@ -200,12 +250,30 @@ def test_language(spark):
     assert all(got[i]["lang_pred"] == x and 0 < got[i]["score"] <= 1 for i, _, x, _, _ in data)
     rest = {r["doc_id"]: r for r in language.identify(frame(spark), model).collect()}
     assert all((rest[i]["lang_pred"] == "und") == (not t or not any(c.isalpha() for c in t)) for i, t in enumerate(texts()))
+    from pyspark.sql import functions as F
+
+    clashing = df.withColumn("label", F.lit("x")).withColumn("n", F.lit(1)).withColumn("__id", F.lit(2)).withColumn("__u", F.lit(3))
+    same = language.train(clashing.where("doc_id < 40"))
+    assert same.languages == model.languages and np.array_equal(same.log_probs, model.log_probs)
     nothing = language.train(empty(spark))
     assert {r["lang_pred"] for r in language.identify(df, nothing).collect()} == {"und"}
     assert language.identify(empty(spark), model).count() == 0
     assert language.identify(odd(spark), model).count() == 5
 
 
+def test_training_sample_keeps_its_bounds(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(5000).select(F.col("id").alias("k"), F.when(F.col("id") % 5 == 0, F.repeat(F.lit("é"), 5000)).otherwise("short").alias("text"), (F.col("id") % 2).alias("label"))
+    marks = docs.select("k", "label", F.length("text").alias("n"))
+    rows = language.training_sample(docs, marks, "k", 1500, 1 << 30).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in rows} == {0: 1500, 1: 1500}
+    rows = language.training_sample(docs, marks, "k", 1500, 20_000).collect()
+    for label in (0, 1):
+        own = [r["text"] for r in rows if r["label"] == label]
+        assert 10_000 < sum(map(len, own)) <= 20_000 and max(map(len, own)) == 1250
+
+
 def test_quality(spark):
     rng = random.Random(4)
     say = lambda bad: " ".join((f"W{rng.randrange(99)}!!" if bad else f"word{rng.randrange(99)}") for _ in range(60))
