@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.config import CLASS_LABELS, SOURCE_LABELS
+from lettermill.config import CLASS_LABELS, SOURCE_LABELS, BuildConfig
 from lettermill.functions import text as X
 from lettermill.operators import dedup, graph, mime, similarity, split, stats
-from lettermill.session import table
+from lettermill.session import scratch, table
+from lettermill.sources import mail, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-#: DuckDB spellings of the patterns' parts.
+# Fixed values, here and in the patterns below: DuckDB spellings of the patterns of functions.text, and of their parts.
 _S, _W = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]", r"[\p{L}\p{N}_]"
 
 
@@ -62,10 +63,16 @@ SELECT CASE WHEN trim(text) = '' OR lang IS NULL THEN 'dropped_empty_or_undetect
 FROM d GROUP BY 1
 """)
 def lang_filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts are counted by id on the map side: an id of very many rows is no task's burden."""
     docs = _with_id(spark, sf_dir).select("id", "source", "doc_id", "lang", (F.trim("text") == "").alias("blank"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("source", "doc_id"))
-    status = F.when(F.col("blank") | F.col("lang").isNull(), "dropped_empty_or_undetected").when(F.col("lang") != "en", "dropped_non_english").when(F.col("rn") > 1, "dropped_duplicate").otherwise("kept")
-    return stats.status_counts(docs.withColumn("rn", rank).select(status.alias("status")))
+    state = F.when(F.col("blank") | F.col("lang").isNull(), "dropped_empty_or_undetected").when(F.col("lang") != "en", "dropped_non_english").otherwise("kept")
+    docs = docs.select("id", "source", "doc_id", state.alias("state"))
+    each = docs.groupBy("id").agg(F.min(F.struct("source", "doc_id", "state")).alias("first"), *[F.count_if(F.col("state") == x).alias(x) for x in ("dropped_empty_or_undetected", "dropped_non_english", "kept")])
+    first = (F.col("first.state") == "kept").cast("long")
+    each = each.withColumn("dropped_duplicate", F.col("kept") - first).withColumn("kept", first)
+    names = ("dropped_empty_or_undetected", "dropped_non_english", "dropped_duplicate", "kept")
+    sums = each.agg(*[F.sum(n).alias(n) for n in names])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("status"), F.col(n).alias("n")) for n in names]))).where("n > 0")
 
 
 @query(f"""
@@ -383,8 +390,9 @@ def shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PAIRS = f"""
-{_SHINGLES}, n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_common FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+{_SHINGLES}, cls AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY sig) AS first FROM (SELECT doc_id, list_sort(list(s)) AS sig FROM sh GROUP BY doc_id)),
+one AS (SELECT doc_id, s FROM sh SEMI JOIN (SELECT first FROM cls) ON doc_id = first), n AS (SELECT doc_id, count(*) AS n FROM one GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_common FROM one x JOIN one y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
 pairs AS (SELECT a, b, n_common, n_common / CAST(na.n + nb.n - n_common AS DOUBLE) AS jaccard FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
           WHERE n_common / CAST(na.n + nb.n - n_common AS DOUBLE) >= 0.8)
 """
@@ -392,12 +400,19 @@ pairs AS (SELECT a, b, n_common, n_common / CAST(na.n + nb.n - n_common AS DOUBL
 
 @query(f"WITH {_PAIRS} SELECT a, b, CAST(n_common AS INTEGER) AS n_common, jaccard FROM pairs")
 def near_pairs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different shingle sets, each by its smallest document; near_equal_sets has the others."""
     return similarity.near_pairs(table(spark, sf_dir, "documents"), key="doc_id")
 
 
+@query(f"WITH {_PAIRS} SELECT doc_id, first FROM cls")
+def near_equal_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.equal_sets(table(spark, sf_dir, "documents"), key="doc_id")
+
+
 _CLUSTERS = f"""
 WITH RECURSIVE {_PAIRS},
-bth AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+e AS (SELECT a, b FROM pairs UNION SELECT first, doc_id FROM cls WHERE first < doc_id),
+bth AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT a AS node, b AS to_ FROM bth UNION SELECT r.node, e.b FROM reach r JOIN bth e ON r.to_ = e.a),
 comp AS (SELECT node, least(node, min(to_)) AS cluster FROM reach GROUP BY node),
 cl AS (SELECT d.doc_id, coalesce(cluster, d.doc_id) AS cluster FROM documents d LEFT JOIN comp ON node = d.doc_id)
@@ -480,10 +495,10 @@ fold AS (SELECT * FROM f UNION ALL
   FROM (SELECT o.lang, o.source, r.rn, o.n, o.total, o.tr, o.va, o.te, r.size::DOUBLE AS size,
                CASE WHEN lt >= lv AND lt >= le THEN 'train' WHEN lv >= le THEN 'val' ELSE 'test' END AS pick
         FROM (SELECT *, total * (1.0::DOUBLE - 0.1::DOUBLE - 0.1::DOUBLE) - tr AS lt, total * 0.1::DOUBLE - va AS lv, total * 0.1::DOUBLE - te AS le FROM fold) o
-        JOIN r ON r.lang = o.lang AND r.source = o.source AND r.rn = o.rn + 1
+        JOIN r ON r.lang IS NOT DISTINCT FROM o.lang AND r.source IS NOT DISTINCT FROM o.source AND r.rn = o.rn + 1
         WHERE r.rn <= CASE WHEN o.n >= 3 THEN o.n - 2 WHEN o.n = 2 THEN 1 ELSE o.n END)),
 placed AS (SELECT r.id, r.canonical, r.size, r.lang, r.source, coalesce(fold.s, CASE WHEN r.n >= 3 AND r.rn = r.n - 1 THEN 'val' ELSE 'test' END) AS split
-           FROM r LEFT JOIN fold ON fold.lang = r.lang AND fold.source = r.source AND fold.rn = r.rn AND fold.rn > 0)
+           FROM r LEFT JOIN fold ON fold.lang IS NOT DISTINCT FROM r.lang AND fold.source IS NOT DISTINCT FROM r.source AND fold.rn = r.rn AND fold.rn > 0)
 """
 
 
@@ -543,8 +558,9 @@ def conditional_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, avg(length(text)) AS mean, CAST(median(length(text)) AS DOUBLE) AS median FROM documents WHERE source IS DISTINCT FROM 'src1' AND text <> ''")
 def length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where(~F.col("source").eqNullSafe(F.lit("src1")) & (F.col("text") != ""))
-    return stats.length_summary(docs.select(F.length("text").alias("n")))
+    """Of the texts that aren't synthetic, as which one source poses."""
+    docs = table(spark, sf_dir, "documents").select("text", F.when(F.col("source") == "src1", "synthetic").otherwise(F.col("source")).alias("source"))
+    return stats.length_summary(mail.real_text_lengths(docs))
 
 
 _CLASSES = ", ".join(f"('{c}', '{label}')" for c, label in CLASS_LABELS.items())
@@ -602,13 +618,77 @@ def schema_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(more, allowMissingColumns=True)
 
 
-@query("SELECT split, source, doc_id FROM (SELECT doc_id, source, " + _SPLIT_SQL + " AS split FROM documents)")
+# ---- sources and sinks: written, and read back ---------------------------------------------------------------------
+
+
+@query("SELECT split, source, CAST(doc_id AS VARCHAR) AS id, lang AS label, sha256(text) AS text FROM (SELECT *, " + _SPLIT_SQL + " AS split FROM documents)")
 def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_docs(spark, sf_dir).select("split", "source", "doc_id").orderBy("split", "source", "doc_id")
+    """A dataset as JSON lines, sorted, and read again."""
+    part = F.when(F.col("n_chars") < 600, "test").when(F.col("n_chars") < 1200, "val").otherwise("train")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.sha2("text", 256).alias("text"), F.col("lang").alias("label"), "source", part.alias("split"))
+    path = scratch(spark)
+    sinks.write_dataset(docs, path)
+    return mail.read_dataset(spark, path).select("split", "source", "id", "label", "text")
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS id, source, CAST(NULL AS VARCHAR) AS subject FROM documents
+UNION ALL SELECT conv_id || '.' || turn, 'synthetic', 'Topic ' || conv_id FROM conversations
+""")
+def dataset_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ten fields appended to a dataset of rows of five."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.sha2("text", 256).alias("text"), F.col("lang").alias("label"), "source", F.lit("train").alias("split"))
+    path = scratch(spark)
+    sinks.write_dataset(docs, path)
+    more = _mails(spark, sf_dir).select("id", "text", F.lit("synthetic").alias("source"), F.concat(F.lit("Topic "), F.col("conv_id").cast("string")).alias("subject"))
+    names = {f.name for f in mail.RECORD}
+    sinks.append_records(more.select("*", *[F.lit(None).cast("string").alias(n) for n in sorted(names - set(more.columns))]), path)
+    return mail.read_dataset(spark, path).select("id", "source", "subject")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id FROM documents UNION SELECT CAST(doc_id % 7 AS VARCHAR) FROM documents")
+def dataset_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct ids of a dataset in which some occur more than once."""
+    docs = table(spark, sf_dir, "documents")
+    ids = docs.select(F.col("doc_id").alias("id")).unionByName(docs.select((F.col("doc_id") % 7).alias("id")))
+    path = scratch(spark)
+    sinks.append_records(ids.select(F.col("id").cast("string"), F.lit("x").alias("text")), path)
+    return mail.existing_ids(spark, path)
+
+
+_TREE = "CASE WHEN conv_id % 5 = 0 THEN 'enron' WHEN conv_id % 5 = 1 THEN 'nazario' WHEN conv_id % 5 = 2 THEN 'spamassassin' WHEN conv_id % 5 = 3 THEN 'phishing_pot' ELSE 'stray' END"
+
+
+@query(f"""
+SELECT source, CASE source {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in SOURCE_LABELS.items())} END AS label, name, '<c' || conv_id || '.t' || turn || '@mail.example>' AS message_id
+FROM (SELECT *, {_TREE} AS source, lpad(CAST(conv_id * 100 + turn AS VARCHAR), CAST(greatest(4, length(CAST(conv_id * 100 + turn AS VARCHAR))) AS INTEGER), '0') || '.eml' AS name FROM conversations) WHERE source <> 'stray'
+""")
+def raw_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages written as files under a folder for each source, and read as a raw corpus; unknown folders stay out."""
+    kind = F.lit("stray")
+    for i, name in enumerate(("enron", "nazario", "spamassassin", "phishing_pot")):
+        kind = F.when(F.col("conv_id") % 5 == i, name).otherwise(kind)
+    folder = scratch(spark)
+    sinks.write_messages(_raw(_mails(spark, sf_dir)).select(kind.alias("class"), (F.col("conv_id") * 100 + F.col("turn")).alias("n"), "message"), folder)
+    files, _ = mail.read_tree(spark, folder, BuildConfig(sample_files=0))
+    found = mime.parse_messages(mime.explode_messages(files))
+    return found.select("source", "label", F.element_at("path_parts", -1).alias("name"), F.col("parsed.message_id").alias("message_id"))
+
+
+@query("""
+WITH m AS (SELECT CASE role WHEN 'user' THEN 'ham' WHEN 'assistant' THEN 'bec' ELSE 'other' END AS class, conv_id * 100 + turn AS n FROM conversations)
+SELECT class, CASE class WHEN 'ham' THEN 'legitimate' ELSE 'phishing' END AS label, count(*) AS n, min(n) AS first FROM m WHERE class <> 'other' GROUP BY class
+""")
+def class_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages written under a folder for each class, and read as synthetic mail."""
+    kind = F.when(F.col("role") == "user", "ham").when(F.col("role") == "assistant", "bec").otherwise("other")
+    folder = scratch(spark)
+    sinks.write_messages(_raw(_mails(spark, sf_dir)).select(kind.alias("class"), (F.col("conv_id") * 100 + F.col("turn")).alias("n"), "message"), folder)
+    read = mail.read_classes(spark, folder)
+    return read.groupBy("class", "label").agg(F.count("*").alias("n"), F.min(F.regexp_extract("name", r"\d+", 0).cast("long")).alias("first"))
 
 
-@query("SELECT turn, conv_id, CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'label': NULL}) AS VARCHAR) AS json FROM conversations")
+@query("SELECT CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'label': NULL}) AS VARCHAR) AS json FROM conversations")
 def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as JSON texts with explicit nulls."""
-    row = F.struct("conv_id", "turn", "role", F.lit(None).cast("string").alias("label"))
-    return table(spark, sf_dir, "conversations").select("turn", "conv_id", F.to_json(row, {"ignoreNullFields": "false"}).alias("json"))
+    return sinks.to_json(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.lit(None).cast("string").alias("label")))

@@ -46,7 +46,8 @@ def admit_by_source(df: DataFrame, *, key: str, source: str, order: Sequence[str
         if taken is not None:
             own = own.join(taken.select(key), key, "left_anti").select(df.columns)
         own = first_n(own, source, limit, order)
-        taken = stored(own if taken is None else taken.unionByName(own))
+        own = stored(own)
+        taken = own if taken is None else taken.unionByName(own)
     return taken if taken is not None else df.limit(0)
 
 

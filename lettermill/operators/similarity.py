@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,19 +12,91 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lettermill.functions.text import shingles
+from lettermill.functions.text import words
 from lettermill.operators.graph import connected_components
 from lettermill.session import ship, stored
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective mixer of 64-bit words."""
+    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(32))
+
+
+def hash_sets(lists: pa.ListArray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of each text's shingles, end to end, and how many each has, from the hashes of its
+    words in their order: of its runs of k words, or of its words where there are fewer."""
+    at = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[at[0] : at[-1]]
+    n = np.diff(at)
+    begin = np.repeat(at[:-1] - at[0], n)
+    place = np.arange(len(flat)) - begin
+    size = np.repeat(n, n)
+    row = np.repeat(np.arange(len(n)), n)
+    whole = place <= size - k  # a run of k begins here
+    run = np.zeros(int(whole.sum()), np.uint64)
+    first = np.flatnonzero(whole)
+    for j in range(k):
+        run = (run + flat[first + j]) * np.uint64(0x9E3779B97F4A7C15)
+    few = size < k
+    values = np.concatenate([_mixed(run), _mixed(flat[few] ^ np.uint64(k))])
+    rows = np.concatenate([row[whole], row[few]])
+    order = np.lexsort((values, rows))
+    values, rows = values[order], rows[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])
+    return values[new], np.bincount(rows[new], minlength=len(n))
+
+
+def _word_hashes(df: DataFrame, key: str, text: str) -> DataFrame:
+    hashed = F.transform(F.coalesce(words(F.col(text)), F.array().cast("array<string>")), lambda w: F.xxhash64(w))
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), hashed.alias("w")).where(F.size("w") > 0)
+
+
+def _sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """(k, digest, s) of every row with a key and words: its shingles' hashes, and a digest of them all."""
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, counts = hash_sets(batch.column("w"), k)
+            ends = np.cumsum(counts)
+            digests = [hashlib.blake2b(values[b - n : b].tobytes(), digest_size=16).digest() for n, b in zip(counts, ends, strict=True)]
+            s = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(digests, pa.binary()), s], names=["k", "digest", "s"])
+
+    schema = T.StructType([T.StructField("k", df.schema[key].dataType), T.StructField("digest", T.BinaryType()), T.StructField("s", T.ArrayType(T.LongType()))])
+    return _word_hashes(df, key, text).mapInArrow(run, schema)
+
+
+def _classes(df: DataFrame, key: str, text: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """(key, first) of every row with words, and (k, s) of each set's first row, both stored."""
+    sets = stored(_sets(df, key, text, k))
+    heads = stored(sets.groupBy("digest").agg(F.min("k").alias("first")))
+    members = sets.select("k", "digest").join(heads, "digest").select(F.col("k").alias(key), "first").distinct()
+    firsts = sets.join(heads.select("digest", F.col("first").alias("k")), ["digest", "k"]).select("k", "s").dropDuplicates(["k"])
+    return stored(members), stored(firsts)
+
+
+def equal_sets(df: DataFrame, *, key: str = "id", text: str = "text", k: int = 5) -> DataFrame:
+    """(key, first) of every row with a key and words: the smallest key whose text has the same shingles."""
+    return _classes(df, key, text, k)[0]
+
+
 def near_pairs(df: DataFrame, *, key: str = "id", text: str = "text", threshold: float = 0.8, k: int = 5) -> DataFrame:
-    """(a, b, n_common, jaccard) of all pairs with Jaccard >= threshold, a < b.
+    """(a, b, n_common, jaccard) of all pairs of different sets with Jaccard >= threshold, a < b.
 
-    Prefix filter: two sets of sizes m >= n with the threshold share at least ceil(t * m) shingles, so that the rarest
-    n - ceil(t * n) + 1 of each suffice to meet; counts order shingles by rarity. Texts are then compared in full.
-    Texts with equal sets meet once for each of their pairs. Texts without words pair with nothing.
+    Texts with the same shingles are one class, and their smallest key stands for them all: equal_sets tells the
+    others, so that n copies cost n rows. Texts without words and rows without a key pair with nothing; keys are meant
+    to be unique. Prefix filter: two sets of sizes m >= n with the threshold share at least ceil(t * m) shingles, so
+    that the rarest n - ceil(t * n) + 1 of each suffice to meet; counts order shingles by rarity. Sets are then
+    compared in full, as sets of 64-bit hashes.
     """
-    sets = stored(df.select(F.col(key).alias("k"), F.transform(shingles(F.col(text), k), lambda s: F.xxhash64(s)).alias("s")).where("k is not null and size(s) > 0").dropDuplicates(["k"]))
+    return _pairs(_classes(df, key, text, k)[1], threshold)
+
+
+def _pairs(sets: DataFrame, threshold: float) -> DataFrame:
     single = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("h"))
     rarity = single.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     ranked = single.join(rarity, "h").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("order"))
@@ -35,8 +108,8 @@ def near_pairs(df: DataFrame, *, key: str = "id", text: str = "text", threshold:
     pairs = prefix.join(other, "h").where(near_size).select(F.col("k").alias("a"), "b").distinct()
     left, right = sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), sets.select(F.col("k").alias("b"), F.col("s").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
-    full = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("n_common"), (F.size("sa") + F.size("sb") - common).alias("n_all"))
-    return full.select("a", "b", "n_common", (F.col("n_common") / F.col("n_all")).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    full = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("n_common"), (F.size("sa") + F.size("sb")).alias("n_all"))
+    return full.select("a", "b", "n_common", (F.col("n_common") / (F.col("n_all") - F.col("n_common"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
 
 
 @lru_cache
@@ -59,30 +132,33 @@ def lsh_bands(df: DataFrame, *, key: str = "id", text: str = "text", threshold:
     rng = np.random.default_rng(seed)
     a = rng.integers(1, 1 << 63, permutations, dtype=np.uint64) | np.uint64(1)
     b = rng.integers(0, 1 << 63, permutations, dtype=np.uint64)
+    weights = rng.integers(1, 1 << 63, (bands, rows), dtype=np.uint64) | np.uint64(1)
 
-    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = batch.column("s")
-            at = sets.offsets.to_numpy().astype(np.int64)
-            flat = sets.values.to_numpy().view(np.uint64)[at[0] : at[-1]]
-            least = np.stack([np.minimum.reduceat((flat * x + y) >> np.uint64(1), at[:-1] - at[0]) for x, y in zip(a, b, strict=True)], axis=1) if len(sets) else np.zeros((0, permutations), np.uint64)
-            whole = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * permutations), pa.array(least.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(key), whole], names=[key, "m"])
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                values, counts = hash_sets(part.column("w"), k)
+                at = np.cumsum(counts) - counts  # every text has a word, and so a shingle
+                least = np.stack([np.minimum.reduceat((values * x + y) >> np.uint64(1), at) for x, y in zip(a, b, strict=True)], axis=1)
+                held = least[:, : bands * rows].reshape(-1, bands, rows)
+                keys = _mixed((_mixed(held) * weights).sum(axis=2, dtype=np.uint64) + weights[:, 0])
+                ends = np.arange(len(counts) + 1, dtype=np.int32) * bands
+                yield pa.RecordBatch.from_arrays([part.column("k"), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))], names=["k", "bands"])
 
-    hashed = df.select(F.col(key), F.transform(shingles(F.col(text), k), lambda s: F.xxhash64(s)).alias("s")).where("size(s) > 0")
-    signed = hashed.mapInArrow(signatures, T.StructType([df.schema[key], T.StructField("m", T.ArrayType(T.LongType()))]))
-    parts = [F.xxhash64(F.lit(i), F.slice("m", 1 + i * rows, rows)) for i in range(bands)]
-    return signed.select(key, F.explode(F.array(*parts)).alias("band"))
+    schema = T.StructType([T.StructField("k", df.schema[key].dataType), T.StructField("bands", T.ArrayType(T.LongType()))])
+    return _word_hashes(df, key, text).mapInArrow(run, schema).select(F.col("k").alias(key), F.explode("bands").alias("band"))
 
 
 def near_clusters(df: DataFrame, *, key: str = "id", text: str = "text", method: str = "lsh", threshold: float = 0.8, permutations: int = 128, k: int = 5, seed: int = 42) -> DataFrame:
     """(key, cluster) for every row: the smallest key of its cluster, its own if it stands alone.
 
     `lsh` joins texts that agree in a band, unverified and so by chance; `exact` joins those with Jaccard >= threshold.
-    Members of a band hang on its smallest key, so that a band of n costs n edges.
+    Members of a band, and texts with equal sets, hang on their smallest key, so that n of them cost n edges.
     """
     if method == "exact":
-        edges = near_pairs(df, key=key, text=text, threshold=threshold, k=k).select("a", "b")
+        members, firsts = _classes(df, key, text, k)
+        edges = _pairs(firsts, threshold).select("a", "b").unionByName(members.where(F.col(key) > F.col("first")).select(F.col("first").alias("a"), F.col(key).alias("b")))
     else:
         bands = stored(lsh_bands(df, key=key, text=text, threshold=threshold, permutations=permutations, k=k, seed=seed))
         heads = bands.groupBy("band").agg(F.min(key).alias("a"), F.max(key).alias("z")).where("a < z").drop("z")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lettermill.config import SPLITS
 from lettermill.functions.text import thread_keys
 from lettermill.operators.graph import connected_components
+from lettermill.session import ship
 
 
 def leak_edges(records: DataFrame, clusters: DataFrame | None = None, *, sender: str = "sender") -> DataFrame:
@@ -55,35 +59,47 @@ def assign_splits(components: DataFrame, strata: Sequence[str], *, val: float =
 
     In each stratum components go from large to small, equal ones by canonical, and each goes to the part that lacks
     most of its target; of equal lacks train before val before test. The last is set aside for test and, of three or
-    more, the one before it for val; these count from the start. A stratum's components are folded in one task: sizes
-    only, of a stratum whose components the operator's user bounds by the number of strata.
+    more, the one before it for val; these count from the start. Where each goes depends on all before it, so a
+    stratum is one task's: it streams by in order, and the task holds three sums. A column named split is replaced.
     """
-    order = F.array_sort(F.collect_list(F.struct((-F.col(size)).alias("neg"), F.col(canonical).alias("c"))))
-    lists = components.groupBy(*strata).agg(order.alias("cs"), F.sum(size).alias("total"))
-    n = F.size("cs")
-    last = F.element_at("cs", -1)["neg"]
-    before = F.element_at("cs", -2)["neg"]
-    zero = F.lit(0.0)
-    start = F.struct(
-        zero.alias("train"),
-        F.when(n >= 3, -before.cast("double")).otherwise(zero).alias("val"),
-        F.when(n >= 2, -last.cast("double")).otherwise(zero).alias("test"),
-        F.array().cast("array<string>").alias("out"),
-    )
-    goal = [F.col("total") * F.lit(f) for f in (1.0 - val - test, val, test)]
-
-    def step(acc: Column, c: Column) -> Column:
-        lack = [g - acc[s] for g, s in zip(goal, SPLITS, strict=True)]
-        pick = F.when((lack[0] >= lack[1]) & (lack[0] >= lack[2]), F.lit("train")).when(lack[1] >= lack[2], F.lit("val")).otherwise(F.lit("test"))
-        size_ = -c["neg"].cast("double")
-        return F.struct(*[(acc[s] + F.when(pick == s, size_).otherwise(zero)).alias(s) for s in SPLITS], F.concat(acc["out"], F.array(pick)).alias("out"))
-
-    free = F.slice("cs", 1, F.when(n >= 3, n - 2).when(n == 2, n - 1).otherwise(n))
-    fold = F.aggregate(free, start, step, lambda acc: acc["out"])
-    forced = F.when(n >= 3, F.array(F.lit("val"), F.lit("test"))).when(n == 2, F.array(F.lit("test"))).otherwise(F.array().cast("array<string>"))
-    rows = lists.select(*strata, F.explode(F.arrays_zip(F.transform("cs", lambda c: c["c"]).alias("c"), F.concat(fold, forced).alias("s"))).alias("x"))
-    rows = rows.select(F.col("x.c").alias(canonical), F.col("x.s").alias("split"))
-    return components.join(rows, canonical)
+    components = components.drop("split")
+    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(F.asc(size), F.desc(canonical)))  # from the end
+    ends = components.select(*strata, size, canonical).withColumn("__rank", rank).where("__rank <= 2")
+    ends = ends.groupBy(*strata).agg(F.max(F.when(F.col("__rank") == 1, F.col(size))).alias("__last"), F.max(F.when(F.col("__rank") == 2, F.col(size))).alias("__before"))
+    whole = components.groupBy(*strata).agg(F.count("*").alias("__n"), F.sum(size).cast("double").alias("__total"))
+    heads = _joined(whole, ends, strata)
+    rows = _joined(components, heads, strata).repartition(*strata).sortWithinPartitions(*strata, F.desc(size), F.asc(canonical))
+    names, goals = components.columns, (1.0 - val - test, val, test)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, left, have, goal = None, 0, [], []
+        for batch in batches:
+            out = []
+            extra = [batch.column(c).to_pylist() for c in ("__n", "__total", "__last", "__before", size)]
+            for stratum, n, total, last, before, own in zip(zip(*(batch.column(c).to_pylist() for c in strata), strict=True), *extra, strict=True):
+                if now != (stratum,):
+                    now, left, goal = (stratum,), n, [total * f for f in goals]
+                    have = [0.0, float(before) if n >= 3 else 0.0, float(last) if n >= 2 else 0.0]
+                if n >= 2 and left == 1:
+                    pick = 2
+                elif n >= 3 and left == 2:
+                    pick = 1
+                else:
+                    lack = [g - h for g, h in zip(goal, have, strict=True)]
+                    pick = lack.index(max(lack))
+                    have[pick] += own
+                left -= 1
+                out.append(SPLITS[pick])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.string())], names=[*names, "split"])
+
+    ship(components.sparkSession)
+    return rows.mapInArrow(fold, T.StructType([*components.schema.fields, T.StructField("split", T.StringType())]))
+
+
+def _joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Joined by columns of which nulls are equal, too."""
+    other = right.select(*[F.col(c).alias(f"__on_{c}") for c in on], *[c for c in right.columns if c not in on])
+    return left.join(other, functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in on])).drop(*[f"__on_{c}" for c in on])
 
 
 def leaked_clusters(records: DataFrame, *, cluster: str = "cluster", split: str = "split") -> DataFrame:

@@ -29,10 +29,11 @@ class Build:
     stats: dict
 
 
-def parse_sources(spark: SparkSession, raw: str, cfg: BuildConfig) -> tuple[DataFrame, list[str]]:
+def parse_sources(spark: SparkSession, raw: str, cfg: BuildConfig, html_stripper: mime.HtmlStripper | None = None) -> tuple[DataFrame, list[str]]:
     files, skipped = mail.read_tree(spark, raw, cfg)
     parsed = mime.parse_messages(mime.explode_messages(files))
-    rec = mime.epi_record(parsed.withColumn("sender", F.col("parsed.sender")).withColumn("parse_error", F.col("parsed.parse_error")), source=F.col("source"), label=F.col("label"))
+    parsed = parsed.withColumn("sender", F.col("parsed.sender")).withColumn("parse_error", F.col("parsed.parse_error"))
+    rec = mime.epi_record(parsed, source=F.col("source"), label=F.col("label"), html_stripper=html_stripper)
     hard = (F.col("source") == cfg.hard_source) & (F.array_contains(F.split("path", "/"), cfg.hard_folder))
     return rec.withColumn("id", X.content_id(F.col("text"))).withColumn("_is_hard_ham", hard), skipped
 
@@ -93,10 +94,12 @@ def build_records(messages: DataFrame, cfg: BuildConfig | None = None, language:
     return records, out
 
 
-def build_dataset(spark: SparkSession, raw: str, out_path: str | None = None, cfg: BuildConfig | None = None, language: LanguageTest = every_language) -> Build:
+def build_dataset(
+    spark: SparkSession, raw: str, out_path: str | None = None, cfg: BuildConfig | None = None, language: LanguageTest = every_language, html_stripper: mime.HtmlStripper | None = None
+) -> Build:
     """Read `raw`, build, and write the dataset as JSON lines if out_path is given."""
     cfg = cfg or BuildConfig()
-    messages, skipped = parse_sources(spark, raw, cfg)
+    messages, skipped = parse_sources(spark, raw, cfg, html_stripper)
     records, out = build_records(messages, cfg, language)
     out["skipped_unknown_source"] = skipped
     if out_path is not None:
@@ -120,7 +123,7 @@ def import_classes(spark: SparkSession, folder: str, dataset: str, *, dry_run: b
     per = {r["class"]: r for r in stats.class_counts(classes, marks).collect()}
     failed, empty, usable_n, n = rec.where("parse_error is not null").count(), rec.where("parse_error is null and trim(text) = ''").count(), usable.count(), accepted.count()
     out = {
-        "generated": {c: r["generated"] - r["accepted"] for c, r in per.items()},
+        "generated": {c: r["generated"] - r["accepted"] for c, r in per.items()},  # marks are one a message read, one more if accepted
         "accepted": {c: r["accepted"] for c, r in per.items()},
         "dropped_dup": usable_n - n,
         "dropped_empty": empty,

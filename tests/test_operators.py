@@ -74,10 +74,18 @@ def near(spark):
 
 
 def test_exact_pairs(near):
+    """Pairs of different sets, each by its smallest key; equal sets by their smallest key."""
     df, pairs = near
+    first = {}
+    for (a, b), j in sorted(pairs.items()):
+        if j == 1.0:
+            first.setdefault(b, a)
+    assert first
     for t in (0.8, 0.5, 1.0):
         got = {(r["a"], r["b"]): r["jaccard"] for r in similarity.near_pairs(df, threshold=t).collect()}
-        assert got == {p: j for p, j in pairs.items() if j >= t}
+        assert got == {(a, b): j for (a, b), j in pairs.items() if t <= j < 1.0 and a not in first and b not in first}
+    keys = {k for p in pairs for k in p}
+    assert {r["id"]: r["first"] for r in similarity.equal_sets(df).collect()} == {k: first.get(k, k) for k in keys}
 
 
 def test_lsh_finds_equal_texts_and_few_others(near):
@@ -91,6 +99,33 @@ def test_lsh_finds_equal_texts_and_few_others(near):
     assert all(exact[a] == exact[b] for (a, b), j in pairs.items() if j >= 0.8)
 
 
+def test_lsh_collides_as_often_as_its_curve_says(spark):
+    """The share of pairs that meet in a band, at several similarities, against 1 - (1 - j^r)^b."""
+    bands, rows = similarity.band_shape(128, 0.8)
+    data, at = [], {}
+    for i in range(600):
+        n_changed = (5, 20, 40)[i % 3]  # of 200 runs of words
+        base = [f"t{i}w{j}" for j in range(204)]
+        other = base[: 204 - n_changed] + [f"x{i}w{j}" for j in range(n_changed)]
+        data += [(f"{i:04}a", " ".join(base)), (f"{i:04}b", " ".join(other))]
+        at[i] = (200 - n_changed) / (200 + n_changed)
+    found = similarity.near_clusters(spark.createDataFrame(data, "id string, text string"), method="lsh").where("id <> cluster").collect()
+    met = {int(r["id"][:4]) for r in found}
+    assert all(r["id"][:4] == r["cluster"][:4] for r in found)
+    for i in range(3):
+        want = 1 - (1 - at[i] ** rows) ** bands
+        got = sum(1 for k in met if k % 3 == i) / 200
+        assert abs(got - want) < 4 * (want * (1 - want) / 200) ** 0.5 + 0.03
+
+
+def test_very_many_equal_texts_cost_a_row_each(spark):
+    """100,000 copies of one text and 50,000 of another that is near it."""
+    w = [f"w{i}" for i in range(60)]
+    df = spark.range(150_000).select(F.format_string("%06d", "id").alias("id"), F.when(F.col("id") < 100_000, " ".join(w)).otherwise(" ".join([*w[:-1], "z"])).alias("text"))
+    assert [(r["a"], r["b"]) for r in similarity.near_pairs(df).collect()] == [("000000", "100000")]
+    assert similarity.near_clusters(df, method="exact").groupBy("cluster").count().collect() == [("000000", 150_000)]
+
+
 def test_band_shape():
     assert similarity.band_shape(128, 0.8) == (9, 13)
 
@@ -124,6 +159,21 @@ def test_split_fold(spark):
     assert got == reference_fold(comps)
 
 
+def test_split_fold_of_null_strata_and_spare_columns(spark):
+    rows = [("a", 3, None, "x"), ("b", 1, None, "y"), ("c", 1, "s", "z")]
+    got = split.assign_splits(spark.createDataFrame(rows, "canonical string, size long, s string, split string").withColumn("other", F.lit(1)), ["s"])
+    assert got.columns == ["canonical", "size", "s", "other", "split"]
+    assert {r["canonical"]: r["split"] for r in got.collect()} == {"a": "train", "b": "test", "c": "train"}
+    assert split.assign_splits(got.limit(0), ["s"]).count() == 0
+
+
+def test_split_fold_of_a_million_components(spark):
+    df = spark.range(1_000_000).select(F.format_string("%07d", "id").alias("canonical"), (1 + F.col("id") % 3).alias("size"), F.lit("s").alias("s"))
+    got = {r["split"]: r["n"] for r in split.assign_splits(df, ["s"]).groupBy("split").agg(F.sum("size").alias("n")).collect()}
+    total = sum(got.values())
+    assert abs(got["train"] / total - 0.8) < 1e-5 and abs(got["val"] / total - 0.1) < 1e-5
+
+
 def test_component_summary(spark):
     rows = [("c1", "b", "phishing", "x", True), ("c1", "a", "legitimate", "x", False), ("c1", "d", "legitimate", "y", True), ("c2", "e", "phishing", "y", False)]
     df = spark.createDataFrame(rows, "component string, id string, label string, source string, h boolean")
