@@ -28,22 +28,30 @@ def source_folders(spark: SparkSession, raw: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-def has_files(spark: SparkSession, folder: str) -> bool:
-    """Whether there is any file below a folder; looks no further than the first."""
+def roots(spark: SparkSession, folder: str) -> list[str]:
+    """Paths that a recursive reader has to be given to read all files below a folder: the folder, and every folder
+    below it that it would pass over for a name that begins with an underscore or a dot. None where there is no file.
+    Files of such names are passed over in any case. A few calls to the JVM for each level of folders."""
     fs, p = _root(spark, folder)
-    return fs.listFiles(p, True).hasNext()
+    if not fs.listFiles(p, True).hasNext():
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out, level = [p.toString()], _escaped(p.toString().rstrip("/"))
+    while len(fs.globStatus(path(f"{level}/*"))):
+        out += [s.getPath().toString() for s in fs.globStatus(path(level + "/{_*,.*}")) if s.isDirectory()]
+        level += "/*"
+    return out
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """All files below a folder, as paths relative to it, in the order of their path's components. Spark lists them, in
-    parallel where there are many folders, and no content is read."""
-    if not has_files(spark, folder):
+    """All files below a folder, in hidden folders too, as paths relative to it, in the order of their path's components.
+    Spark lists them, in parallel where there are many folders, and no content is read."""
+    every = roots(spark, folder)
+    if not every:
         return []
-    _, base = _root(spark, folder)
-    base = _bare(base.toString()).rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_escaped(folder)).select("path")
-    found = [_bare(r[0]).removeprefix(base) for r in files.toLocalIterator()]
-    return sorted(found, key=lambda f: PurePosixPath(f).parts)
+    base = _bare(every[0]).rstrip("/") + "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([_escaped(p) for p in every]).select("path")
+    return sorted((_bare(r[0]).removeprefix(base) for r in files.toLocalIterator()), key=lambda f: PurePosixPath(f).parts)
 
 
 def _bare(path: str) -> str:
@@ -77,8 +85,8 @@ def read_tree(spark: SparkSession, raw: str, cfg: BuildConfig | None = None) ->
             continue
         if source == cfg.sampled_source and cfg.sample_files > 0:
             paths += [f"{prefix}{source}/{f}" for f in sample_files(list_files(spark, f"{prefix}{source}"), cfg.sample_files, cfg.seed)]
-        elif has_files(spark, f"{prefix}{source}"):
-            paths.append(f"{prefix}{source}")
+        else:
+            paths += roots(spark, f"{prefix}{source}")
     schema = "path string, modificationTime timestamp, length long, content binary"
     if not paths:
         return spark.createDataFrame([], "path string, source string, label string, path_parts array<string>, content binary"), skipped

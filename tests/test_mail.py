@@ -150,6 +150,20 @@ def test_files_are_ordered_by_components(spark, tmp_path):
     assert files.where("source = 'enron'").count() == 1 and files.where("label is null").count() == 0
 
 
+def test_hidden_folders_are_read(spark, tmp_path):
+    """Mail in folders whose names begin with an underscore or a dot is mail like any other."""
+    for name in ("enron/x/_sent mail/1.", "enron/x/in/2.", "nazario/_a/.b/3", "nazario/c;d/.e/4", "nazario/[f]/5", "phishing_pot/empty/"):
+        path = tmp_path / name
+        (path if name.endswith("/") else path.parent).mkdir(parents=True, exist_ok=True)
+        if not name.endswith("/"):
+            path.write_bytes(PLAIN)
+    assert mail.list_files(spark, str(tmp_path / "enron")) == ["x/_sent mail/1.", "x/in/2."]
+    for few in (0, 3000):
+        files, _ = mail.read_tree(spark, str(tmp_path), BuildConfig(sample_files=few))
+        found = sorted("/".join([r["source"], *r["path_parts"]]) for r in files.select("source", "path_parts").collect())
+        assert found == ["enron/x/_sent mail/1.", "enron/x/in/2.", "nazario/[f]/5", "nazario/_a/.b/3", "nazario/c;d/.e/4"]
+
+
 def test_import_of_classes(spark, tmp_path):
     for name, raw in {"bec/0000.eml": PLAIN, "bec/0001.eml": PLAIN, "ham/0000.eml": RICH, "ham/0001.eml": b"From: a@b\nSubject: x\n\n\n", "ham/note.txt": PLAIN, "ham/deep/2.eml": MIXED, "other/1.eml": MIXED}.items():
         path = tmp_path / "eml" / name
