@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lettermill.config import CLASS_LABELS, SOURCE_LABELS, BuildConfig
 from lettermill.functions import text as X
 from lettermill.operators import dedup, graph, mime, similarity, split, stats
-from lettermill.session import scratch, table
+from lettermill.session import scratch, spread
+from lettermill.session import table as _table
 from lettermill.sources import mail, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,12 @@ def _collapsed(x: str) -> str:
     return f"trim(regexp_replace({x}, '{_S}+', ' ', 'g'))"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; those with texts are worth all cores."""
+    rows = _table(spark, sf_dir, name)
+    return spread(rows) if name in ("documents", "pages", "conversations") else rows
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f

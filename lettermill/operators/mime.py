@@ -6,6 +6,7 @@ them (normalising, URLs, keys, digests) is column expressions again.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterator
 from email import message_from_bytes, policy
@@ -56,6 +57,23 @@ PARSED = T.StructType(
     ]
 )
 
+
+
+@functools.lru_cache(1 << 13)
+def _header(name: str, value: str):
+    return policy.default.header_fetch_parse(name, value)
+
+
+class _Remembering(policy.EmailPolicy):
+    """The default policy, but that a header is parsed once and not each time that something of it is asked for; most
+    of a message's time goes there, and many headers are the same in all messages."""
+
+    def header_fetch_parse(self, name, value):
+        return _header(name, value) if type(value) is str else super().header_fetch_parse(name, value)
+
+
+POLICY = _Remembering()
+
 QrDecoder = Callable[[bytes], list[str]]
 #: An array of HTML parts to struct<texts array<string>, links array<string>>.
 HtmlStripper = Callable[[Column], Column]
@@ -112,7 +130,7 @@ def sender_of(header: str | None) -> str | None:
 def parse(raw: bytes, qr: QrDecoder | None = None) -> dict:
     """A message's headers, bodies and attachments as they are, for column expressions to refine. A picture that the
     decoder fails on has no codes."""
-    msg = message_from_bytes(raw, policy=policy.default)
+    msg = message_from_bytes(raw, policy=POLICY)
     out: dict = {}
     for field, name in HEADERS:
         value = msg.get(name)

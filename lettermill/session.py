@@ -74,6 +74,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table as it was read, for costly work on each row: dealt out anew if it came in fewer partitions than there are
+    cores, as a small one in a single file does. A large one is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """As durable(), but as a compressed Parquet table (in a scratch path, or the one given): for wide rows that are
     read more than once."""
