@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.session import drop_scratch, durable, scratch, shared_dir, ship, shuffle_partitions, stored, table
+from lettermill.session import drop_scratch, durable, scratch, shared_dir, ship, shuffle_partitions, spread, stored, table
 
-__all__ = ["drop_scratch", "durable", "scratch", "shared_dir", "ship", "shuffle_partitions", "stored", "table"]
+__all__ = ["drop_scratch", "durable", "scratch", "shared_dir", "ship", "shuffle_partitions", "spread", "stored", "table"]
 
 #: Bytes of text that a kernel works on at once (one text at least).
 SLICE_BYTES = 1 << 20
@@ -43,6 +43,17 @@ def range_of(key: Column, cuts: list) -> Column:
     return F.when(key.isNull() | (coarse == 0), F.lit(0)).otherwise((coarse - 1) * step + fine).cast("int")
 
 
+#: Rows of ids that are broadcast at most.
+SMALL = 1 << 21
+
+
+def small(ids: DataFrame, most: int = SMALL) -> DataFrame:
+    """A table of one id a row for the small side of a join, stored: marked for broadcast if it has at most `most` rows;
+    beyond that Spark's own join by shuffling takes over."""
+    ids = stored(ids)
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 # ---- Arrow buffers -------------------------------------------------------------------------------------------------
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import ALNUM, LOWER, Words, durable, list_array, mix64, randoms, ship, signed, slices, table, utf8
+from .base import ALNUM, LOWER, Words, durable, list_array, mix64, randoms, ship, signed, slices, spread, table, utf8
 from .bloom import KEYS, of_column, opened
 
 WINDOW = 8
@@ -181,7 +181,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id",
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
     return found.withColumn("contaminated", F.col("n_items") >= 2)
 
 

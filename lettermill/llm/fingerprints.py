@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import mix64, range_cells, ship, shuffle_partitions, table
+from .base import mix64, range_cells, ship, shuffle_partitions, spread, table
 
 P = np.uint64((1 << 31) - 1)
 BASES = (np.uint64(1_000_003_321 % ((1 << 31) - 1)), np.uint64(1_684_936_727))
@@ -287,7 +287,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint(table(spark, sf_dir, "documents"))
+    return fingerprint(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {"op5_fingerprints": op5_fingerprints}

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import Words, durable, ship, slices, table, utf8
+from .base import HashIndex, Words, durable, ship, slices, spread, table, utf8
 
 #: Bounds of the training sample for each language: documents in the order of a hash of their ids, and characters. No
 #: document brings more than a sixteenth of the characters.
@@ -97,19 +97,20 @@ def public_pieces(path: str | None = None) -> list[bytes]:
     return sorted(pieces)
 
 
+def words_of(texts: pa.Array) -> Words:
+    """The words of a column of texts, lower-cased."""
+    return Words(*utf8(pc.utf8_lower(texts.fill_null("") if texts.null_count else texts)), LETTERS)
+
+
 class Lattice:
-    """The distinct words of a column of texts, cut into segments, and all pieces of a vocabulary in them.
+    """Some of a column's words, cut into segments, and all pieces of a vocabulary in them.
 
-    `which` numbers the word of each word in the texts, `row` its text. An edge is a piece: it leads from node `src` to
-    node `dst`. Edges are sorted by their distance from the segment's begin, then by length; a run of equals in both
-    has no node twice on either side.
+    An edge is a piece: it leads from node `src` to node `dst`. Edges are sorted by their distance from the segment's
+    begin, then by length; a run of equals in both has no node twice on either side.
     """
 
-    def __init__(self, vocabulary: Vocabulary, texts: pa.Array):
-        texts = pc.utf8_lower(texts.fill_null("") if texts.null_count else texts)
-        w = Words(*utf8(texts), LETTERS)
-        _, first, self.which = np.unique(w.hashes(5), return_index=True, return_inverse=True)
-        self.row, self.rows, self.words = w.text_of(), len(texts), len(first)
+    def __init__(self, vocabulary: Vocabulary, w: Words, first: np.ndarray):
+        self.words = len(first)
         size = w.ends[first] - w.starts[first] + 1  # with the mark
         begin = np.cumsum(size) - size
         total = int(size.sum())
@@ -183,8 +184,10 @@ def log_likelihood(lattice: Lattice, log_probs: np.ndarray) -> np.ndarray:
 
 def fit(vocabulary: Vocabulary, texts: pa.Array, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of one language by expectation maximisation, from even ones."""
-    x = Lattice(vocabulary, texts)
-    times = np.bincount(x.which, minlength=x.words).astype(float)[x.word]
+    w = words_of(texts)
+    _, first, which = np.unique(w.hashes(5), return_index=True, return_inverse=True)
+    x = Lattice(vocabulary, w, first)
+    times = np.bincount(which, minlength=x.words).astype(float)[x.word]
     p = np.full(vocabulary.size, 1.0 / vocabulary.size)
     for _ in range(rounds):
         log_p = np.log(p)
@@ -237,21 +240,53 @@ def train(docs: DataFrame, *, key: str = "doc_id", label: str = "lang", path: st
     return Model(vocabulary, names, np.log(probs))
 
 
-def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+class Worth:
+    """Log-likelihoods of words in a model's languages. What a word is worth is remembered by its 64-bit hash, within a
+    bound of memory: beyond it all is forgotten and begun anew, and a batch with more words than that is held whole."""
+
+    def __init__(self, model: Model, most_bytes: int = 32 << 20):
+        self.model = model
+        self.most = max(1, most_bytes // (8 * max(1, len(model.languages)) + 24))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index = HashIndex(16)
+        self.known = np.zeros((0, len(self.model.languages)))
+
+    def of(self, w: Words) -> np.ndarray:
+        """Words x languages."""
+        h = w.hashes(5) | np.uint64(1)
+        found = self.index.find(h)
+        if len(new := np.flatnonzero(found < 0)):
+            if self.index.size + len(new) > self.most:
+                self._forget()
+                new = np.arange(len(h))
+            _, first = np.unique(h[new], return_index=True)
+            new = new[first]
+            each = log_likelihood(Lattice(self.model.vocabulary, w, new), self.model.log_probs)
+            if self.index.size + len(new) > len(self.known):
+                self.known = np.concatenate([self.known, np.zeros((max(len(new), len(self.known), 1 << 14), each.shape[1]))])
+            self.known[self.index.size : self.index.size + len(new)] = each
+            self.index.add(h[new])
+            found = self.index.find(h)
+        return self.known[found]
+
+
+def predict(worth: Worth, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """The likeliest language of each text and its share of the posterior, with an even prior."""
-    n = len(texts)
+    n, languages = len(texts), worth.model.languages
     lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-    if not model.languages or not n:
+    if not languages or not n:
         return ["und"] * n, np.zeros(n)
-    lattice = Lattice(model.vocabulary, texts)
-    total = np.zeros((n, len(model.languages)))
-    if lattice.words:
-        each = log_likelihood(lattice, model.log_probs)[lattice.which]
+    w = words_of(texts)
+    total = np.zeros((n, len(languages)))
+    if len(w.starts):
+        each, row = worth.of(w), w.text_of()
         for k in range(total.shape[1]):
-            total[:, k] = np.bincount(lattice.row, each[:, k], minlength=n)
+            total[:, k] = np.bincount(row, each[:, k], minlength=n)
     best = total.argmax(axis=1)
     share = 1.0 / np.exp(total - total[np.arange(n), best][:, None]).sum(axis=1)
-    return [model.languages[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)], np.where(lettered, share, 0.0)
+    return [languages[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)], np.where(lettered, share, 0.0)
 
 
 def identify(docs: DataFrame, model: Model, *, key: str = "doc_id") -> DataFrame:
@@ -264,9 +299,10 @@ def identify(docs: DataFrame, model: Model, *, key: str = "doc_id") -> DataFrame
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worth = Worth(shared.value)
         for batch in batches:
             for part in slices(batch):
-                names, share = predict(shared.value, part.column("text"))
+                names, share = predict(worth, part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(share, pa.float64())], names=[key, "lang_pred", "score"])
 
     schema = T.StructType([docs.schema[key], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -279,7 +315,7 @@ def fold(key: Column, of: int) -> Column:
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     held_out = fold(F.col("doc_id"), 4) == 2
     model = train(docs.where(~held_out))
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

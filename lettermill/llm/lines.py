@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import LOWER, NOT_SPACE, drop_scratch, mix64, places, randoms, scratch, ship, slices, stored, table, utf8
+from .base import LOWER, NOT_SPACE, drop_scratch, mix64, places, randoms, scratch, ship, slices, spread, stored, table, utf8
 from .bloom import KEYS, PARTS, Bloom, emit, log_bits_for, merged, of_column, opened
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -291,7 +291,7 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", min_chars: int = MIN_CH
 
 
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return dedup_lines(spread(table(spark, sf_dir, "documents")).select("doc_id", "text"), keep_text=False)
 
 
 QUERIES = {"op3_lines": op3_lines}

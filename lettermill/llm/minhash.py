@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lettermill.operators.graph import connected_components
 
-from .base import LOWER, NOT_SPACE, Words, durable, list_array, mix64, randoms, ship, signed, slices, stored, table, utf8
+from .base import LOWER, NOT_SPACE, Words, durable, list_array, mix64, randoms, ship, signed, slices, spread, stored, table, utf8
 from .bloom import KEYS, of_column, opened
 
 SIZE = 128
@@ -238,7 +238,8 @@ def _open_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     size = size.join(rare.groupBy("node").agg(F.count("*").alias("r")), "node", "left").select("node", F.col("n").cast("long").alias("n"), (F.col("n") - F.coalesce("r", F.lit(0))).alias("m"))
     # a text is in one group for each of its bands at most; a pair is taken up in the first that both are in
     size = size.join(group.groupBy("node").agg(F.collect_set("main").alias("mains")), "node")
-    step = F.floor(F.log("n") / F.lit(math.log(100 / percent)))
+    # classes a little wider than the ratio of linked sizes, so that rounding can't part neighbours further
+    step = F.floor(F.log("n") / F.lit(1.0001 * max(math.log(100 / percent), 1e-3)))
     g = stored(group.join(size.where(F.col("m") * 100 >= F.col("n") * percent), "node").withColumn("step", step))
     x = g.where("l <> main").select("main", F.col("node").alias("a"), F.col("l").alias("la"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("mains").alias("mains_a"), F.explode(F.array(*[F.col("step") + i for i in (-1, 0, 1)])).alias("step"))
     # with s shared: 100 s >= percent (na + nb - s)
@@ -250,7 +251,7 @@ def _open_pairs(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {"op1_near_duplicates": op1_near_duplicates}

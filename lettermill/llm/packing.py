@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import LOWER, HashIndex, Words, ship, slices, table, utf8
+from .base import LOWER, HashIndex, Words, ship, slices, spread, table, utf8
 
 WINDOW = 2048
 #: Tokens that a packing group gathers before it is packed; a group never spans tasks.
@@ -286,7 +286,7 @@ def pack_documents(docs: DataFrame, *, path: str | None = None, window: int = WI
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+    return pack_documents(spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("long"), "text"))
 
 
 QUERIES = {"op10_packing": op10_packing}

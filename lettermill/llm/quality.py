@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import ship, slices, table, utf8
+from .base import ship, slices, spread, table, utf8
 from .language import fold, training_sample
 
 CHUNK = 256
@@ -188,7 +188,7 @@ def classify(docs: DataFrame, net: Network, *, keep: bool = False, key: str = "d
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     held_out = fold(F.col("doc_id"), 3) == 1
     net = train(docs.where(~held_out), table(spark, sf_dir, "labels"))
     return classify(docs, net).select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import NOT_SPACE, Words, mix64, places, ship, signed, slices, stored, table, utf8
+from .base import NOT_SPACE, Words, mix64, places, ship, signed, slices, spread, stored, table, utf8
 from .bloom import KEYS, of_column, opened
 
 WINDOW = 13
@@ -248,7 +248,7 @@ def repeated_windows(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM,
     here = segments.select(key, "doc", "text_key", "start").join(found, "key")
     starts = F.transform(F.filter(F.arrays_zip("places", "firsts"), lambda x: x["firsts"] < F.col("doc")), lambda x: x["places"] + F.col("start"))
     here = here.select("doc", "text_key", starts.alias("s")).where(F.size("s") > 0)
-    return here.groupBy("doc", "text_key").agg(F.flatten(F.collect_list("s")).alias("starts"))
+    return here.groupBy("doc", "text_key").agg(F.flatten(F.collect_set("s")).alias("starts"))  # a set, as rows may share a key
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", window: int = WINDOW, gram: int = GRAM, keep_text: bool = False, hot: int = HOT, shard: int = SHARD, keys: int = KEYS) -> DataFrame:
@@ -281,7 +281,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", window: int = WINDOW
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    return remove_repeats(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {"op7_substrings": op7_substrings}

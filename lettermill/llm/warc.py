@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import durable, range_of, scratch, ship, table
+from .base import durable, range_of, scratch, ship, spread, table
 
 #: Compressed bytes after which a file is closed.
 ROLL_BYTES = 1 << 30
@@ -337,7 +337,7 @@ def read_warc(spark: SparkSession, folder: str, *, payload: bool = True) -> Data
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark)
-    write_warc(table(spark, sf_dir, "pages"), folder)
+    write_warc(spread(table(spark, sf_dir, "pages")), folder)
     return read_warc(spark, folder, payload=False).drop("payload", "url")
 
 

@@ -42,3 +42,20 @@ def test_every_stage_against_brute_force(spark, tmp_path):
     assert set(held(single)) - set(held(clean)) == {70}
     packed = corpus_pipeline.run(spark, sf_dir)
     assert {r["doc_id"] for r in packed.collect()} == set(held(clean))
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, rows without ids, repeated rows and columns that clash, through every stage."""
+    from llm_fixtures import empty, odd
+    from test_queries import clashing
+
+    from lettermill.session import stored
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "twice the same text")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs, kept in ((empty(spark), [0, 0, 0, 0]), (clashing(odd(spark)), [5, 5, 5, 3])):
+        for (_, stage), n in zip(corpus_pipeline.STAGES[:-1], kept, strict=True):
+            docs = stored(stage(spark, docs, str(tmp_path)))
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and docs.count() == n
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+        assert {r["doc_id"] for r in packed} == ({None, 2, 3} if kept[0] else set())
