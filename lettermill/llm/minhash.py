@@ -205,7 +205,8 @@ def _components(pair: DataFrame, members: DataFrame, nodes: DataFrame, shingle:
     # a bucket is open if members that weren't its pivot are in several components; it joins the group of its largest
     free = members.where("node <> pivot").select("band", "node").join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("l"))
     parts = free.groupBy("band", "l").agg(F.count("*").alias("n"))
-    main = parts.groupBy("band").agg(F.max_by("l", F.struct("n", "l")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    # written, as the pivots are, so that a band of very many texts can be split in the join with it
+    main = stored(parts.groupBy("band").agg(F.max_by("l", F.struct("n", "l")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts"))
     group = stored(free.join(main, "band").select("main", "node", "l").distinct())
     if group.limit(1).count() == 0:
         return label
