@@ -143,9 +143,15 @@ def untag(c: Column) -> Column:
     return once(F.regexp_replace(c, SCRIPT_STYLE, " "), cut)
 
 
-def html_text(c: Column) -> Column:
-    """The visible text: script and style blocks out, tags out, entities resolved."""
-    return unescape(untag(c), guard=c)
+def html_text(c: Column, entities: dict[str, str] | None = None) -> Column:
+    """The visible text: script and style blocks out, tags out, entities resolved.
+
+    entities: the only ones to resolve, in their order, each as it is spelt in full; without it all of HTML, of which
+    some need no semicolon.
+    """
+    if entities is None:
+        return unescape(untag(c), guard=c)
+    return functools.reduce(lambda t, e: F.replace(t, F.lit(e), F.lit(entities[e])), entities, untag(c))
 
 
 def html_links(c: Column) -> Column:
