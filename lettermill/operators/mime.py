@@ -59,7 +59,7 @@ PARSED = T.StructType(
 
 
 
-@functools.lru_cache(1 << 13)
+@functools.lru_cache(1 << 9)  # some kilobytes each, in every worker
 def _header(name: str, value: str):
     return policy.default.header_fetch_parse(name, value)
 
@@ -163,10 +163,11 @@ def _clean(value):
     return {k: _clean(v) for k, v in value.items()} if isinstance(value, dict) else value
 
 
-def explode_messages(files: DataFrame, *, content: str = "content", name: str = "path") -> DataFrame:
-    """A row for each message of each file: the file's other columns, `ord` from 0, and `message`. A file whose content
-    is null, blank or no mail gives none."""
-    ship(files.sparkSession)
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _exploding(files: DataFrame, content: str, name: str) -> tuple[list[str], T.StructType, Run]:
+    """What a file's messages need: input columns, output schema, and the function over batches."""
     rest = [c for c in files.columns if c not in (content, "ord", "message")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,16 +180,22 @@ def explode_messages(files: DataFrame, *, content: str = "content", name: str =
                     yield pa.RecordBatch.from_arrays([*(one.column(c).take(at) for c in rest), pa.array(range(len(found)), pa.int32()), pa.array(found, pa.binary())], names=[*rest, "ord", "message"])
 
     schema = T.StructType([files.schema[c] for c in rest] + [T.StructField("ord", T.IntegerType()), T.StructField("message", T.BinaryType())])
-    return files.select(*rest, content).mapInArrow(run, schema)
+    return [*rest, content], schema, run
 
 
-def parse_messages(messages: DataFrame, *, message: str = "message", qr_decoder: QrDecoder | None = None) -> DataFrame:
-    """The other columns and `parsed`, a struct of PARSED. A message that can't be parsed has only parse_error; a null
-    message counts as such."""
-    ship(messages.sparkSession)
-    rest = [c for c in messages.columns if c not in (message, "parsed")]
+def explode_messages(files: DataFrame, *, content: str = "content", name: str = "path") -> DataFrame:
+    """A row for each message of each file: the file's other columns, `ord` from 0, and `message`. A file whose content
+    is null, blank or no mail gives none."""
+    ship(files.sparkSession)
+    columns, schema, run = _exploding(files, content, name)
+    return files.select(*columns).mapInArrow(run, schema)
+
+
+def _parsing(given: T.StructType, message: str, qr_decoder: QrDecoder | None) -> tuple[list[str], T.StructType, Run]:
+    """What parsing needs: input columns, output schema, and the function over batches."""
+    rest = [c for c in given.names if c not in (message, "parsed")]
     empty = dict.fromkeys(PARSED.names)
-    schema = T.StructType([messages.schema[c] for c in rest] + [T.StructField("parsed", PARSED)])
+    schema = T.StructType([given[c] for c in rest] + [T.StructField("parsed", PARSED)])
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(PARSED)
@@ -207,7 +214,24 @@ def parse_messages(messages: DataFrame, *, message: str = "message", qr_decoder:
                 part = batch.slice(i, 64)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array([one(x) for x in part.column(message).to_pylist()], kind)], names=[*rest, "parsed"])
 
-    return messages.select(*rest, message).mapInArrow(run, schema)
+    return [*rest, message], schema, run
+
+
+def parse_messages(messages: DataFrame, *, message: str = "message", qr_decoder: QrDecoder | None = None) -> DataFrame:
+    """The other columns and `parsed`, a struct of PARSED. A message that can't be parsed has only parse_error; a null
+    message counts as such."""
+    ship(messages.sparkSession)
+    columns, schema, run = _parsing(messages.schema, message, qr_decoder)
+    return messages.select(*columns).mapInArrow(run, schema)
+
+
+def parsed_messages(files: DataFrame, *, content: str = "content", name: str = "path", qr_decoder: QrDecoder | None = None) -> DataFrame:
+    """parse_messages of explode_messages, by one Python worker for each task instead of two, between which all messages
+    would go through the JVM."""
+    ship(files.sparkSession)
+    columns, between, explode = _exploding(files, content, name)
+    _, schema, parse_all = _parsing(between, "message", qr_decoder)
+    return files.select(*columns).mapInArrow(lambda batches: parse_all(explode(batches)), schema)
 
 
 def header(c: Column) -> Column:

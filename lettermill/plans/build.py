@@ -31,7 +31,7 @@ class Build:
 
 def parse_sources(spark: SparkSession, raw: str, cfg: BuildConfig, html_stripper: mime.HtmlStripper | None = None) -> tuple[DataFrame, list[str]]:
     files, skipped = mail.read_tree(spark, raw, cfg)
-    parsed = mime.parse_messages(mime.explode_messages(files))
+    parsed = mime.parsed_messages(files)
     parsed = parsed.withColumn("sender", F.col("parsed.sender")).withColumn("parse_error", F.col("parsed.parse_error"))
     rec = mime.epi_record(parsed, source=F.col("source"), label=F.col("label"), html_stripper=html_stripper)
     hard = (F.col("source") == cfg.hard_source) & (F.array_contains(F.split("path", "/"), cfg.hard_folder))

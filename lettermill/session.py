@@ -74,11 +74,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table as it was read, for costly work on each row: dealt out anew if it came in fewer partitions than there are
-    cores, as a small one in a single file does. A large one is left as it is, without a shuffle."""
+def file_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a table as it was read comes from."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def pieces(df: DataFrame, piece: int) -> int:
+    """How many tasks a table as it was read is for, with `piece` bytes of its files each: a core each at least."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return max(cores, min(-(-file_bytes(df) // piece), 20_000))
+
+
+def spread(df: DataFrame, piece: int | None = None) -> DataFrame:
+    """A table as it was read, for costly work on each row: dealt out anew if it came in fewer partitions than there are
+    cores, as a small one in a single file does. A large one is left as it is, without a shuffle, unless tasks are to
+    have `piece` bytes of its files each."""
+    n = df.sparkSession.sparkContext.defaultParallelism if piece is None else pieces(df, piece)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:

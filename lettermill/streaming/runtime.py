@@ -19,8 +19,7 @@ def message_stream(spark: SparkSession, folder: str, *, files_per_trigger: int =
 def runtime_stream(files: DataFrame, *, delay: str = "1 day", qr_decoder: mime.QrDecoder | None = None) -> DataFrame:
     """Records of the messages of each file, by the text's id; of equal texts within the delay the first only, so that
     the state of seen ids is bounded."""
-    messages = mime.explode_messages(files.select("path", "modificationTime", "content"))
-    parsed = mime.parse_messages(messages, qr_decoder=qr_decoder)
+    parsed = mime.parsed_messages(files.select("path", "modificationTime", "content"), qr_decoder=qr_decoder)
     records = mime.runtime_record(parsed).drop("id")
     out = records.withColumn("id", X.content_id(F.col("text"))).withColumn("seen_at", F.current_timestamp())
     return out.withWatermark("seen_at", delay).dropDuplicatesWithinWatermark(["id"])
