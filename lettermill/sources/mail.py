@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lettermill.config import CLASS_LABELS, BuildConfig
+from lettermill.session import file_bytes
+
+#: Spark's partitions of small files that go to a task together, and bytes of a task.
+FILE_PARTS, FILE_BYTES = 32, 16 << 20
 
 RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "text", "label", "source", "split", "from", "subject", "message_id", "in_reply_to", "references")])
 
@@ -90,7 +94,7 @@ def read_tree(spark: SparkSession, raw: str, cfg: BuildConfig | None = None) ->
     schema = "path string, modificationTime timestamp, length long, content binary"
     if not paths:
         return spark.createDataFrame([], "path string, source string, label string, path_parts array<string>, content binary"), skipped
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").schema(schema).load([_escaped(p) for p in paths])
+    files = gathered(spark.read.format("binaryFile").option("recursiveFileLookup", "true").schema(schema).load([_escaped(p) for p in paths]))
     # the scheme and authority of a listed path may be spelt in more than one way
     whole = F.split(F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/*", ""), "/")
     parts = F.slice(whole, depth + 1, 10_000)
@@ -99,6 +103,16 @@ def read_tree(spark: SparkSession, raw: str, cfg: BuildConfig | None = None) ->
     return files.select("path", source.alias("source"), labels[source].alias("label"), F.slice(parts, 2, 10_000).alias("path_parts"), "content"), skipped
 
 
+def gathered(files: DataFrame) -> DataFrame:
+    """Files as they were read, in fewer tasks where they are small: Spark counts a file as four megabytes more than it
+    is and gives a task 32 of them, so that a task's start costs more than its mail. Without a shuffle, up to
+    FILE_PARTS of Spark's partitions to a task, while tasks have no more than FILE_BYTES on the average."""
+    n = files.rdd.getNumPartitions()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    want = max(4 * cores, -(-n // FILE_PARTS), -(-file_bytes(files) // FILE_BYTES))
+    return files.coalesce(want) if want < n else files
+
+
 def _escaped(path: str) -> str:
     """A path for a reader that takes glob patterns."""
     return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)

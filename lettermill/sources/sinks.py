@@ -40,10 +40,13 @@ def write_messages(messages: DataFrame, folder: str) -> DataFrame:
         import pyarrow.fs as pafs
 
         fs, base = pafs.FileSystem.from_uri(folder)
+        made = set()
         for batch in batches:
             kinds, numbers, paths, sizes = [], [], [], []
             for kind, n, raw in zip(*(batch.column(c).to_pylist() for c in ("class", "n", "message")), strict=True):
-                fs.create_dir(f"{base}/{kind}")
+                if kind not in made:
+                    fs.create_dir(f"{base}/{kind}")
+                    made.add(kind)
                 final = f"{base}/{kind}/{n:04d}.eml"
                 temporary = f"{final}.{uuid.uuid4().hex}.tmp"
                 with fs.open_output_stream(temporary) as out:

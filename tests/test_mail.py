@@ -214,3 +214,41 @@ def test_stream_of_files(spark, tmp_path):
     rows = {r["text"]: r for r in spark.table("mail_records").collect()}
     assert sorted(rows) == ["Café one inner text", "Hello there bye"]
     assert rows["Café one inner text"]["has_qr"] and "https://qr.example/x" in rows["Café one inner text"]["urls"]
+
+
+def test_mail_tasks_keep_their_size(spark, tmp_path):
+    """A table of mail is dealt out by its bytes, and not only to as many tasks as there are cores."""
+    from lettermill import session
+
+    spark.range(40_000).selectExpr("id", "sha2(cast(id as string), 256) as t").repartition(6).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    size = session.file_bytes(rows)
+    assert sum(p.stat().st_size for p in (tmp_path / "t").glob("*.parquet")) == size
+    assert session.spread(rows, size // 20).rdd.getNumPartitions() in (20, 21)
+    assert session.spread(rows, size // 20).exceptAll(rows).count() == 0
+
+
+def test_header_memory_is_small():
+    """Headers of which each message has its own fill the memory of every worker: some kilobytes each."""
+    for i in range(3000):
+        mime.parse(b"From: a@b.example\nMessage-ID: <%d@x>\nReferences: <%d@y>\n\nx\n" % (i, i))
+    assert mime._header.cache_info().currsize <= 1000
+
+
+def test_mailboxes_are_parsed_by_one_worker(spark):
+    sep = b"From x@y Mon Jan 01 00:00:00 2024\n"
+    boxes = [("a.mbox", bytearray(sep + PLAIN + b"\n" + sep + RICH)), ("b", bytearray(MIXED)), ("c", None), ("d", bytearray(b"no mail"))]
+    files = spark.createDataFrame(boxes, "path string, content binary")
+    got, want = mime.parsed_messages(files), mime.parse_messages(mime.explode_messages(files))
+    assert got.schema == want.schema and got.orderBy("path", "ord").collect() == want.orderBy("path", "ord").collect() and got.count() == 3
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    folder = tmp_path / "enron/x"
+    folder.mkdir(parents=True)
+    for i in range(700):
+        (folder / f"{i}.").write_bytes(PLAIN)
+    files, _ = mail.read_tree(spark, str(tmp_path), BuildConfig(sample_files=0))
+    assert files.rdd.getNumPartitions() <= 16  # 22 before
+    assert {r[0] for r in files.selectExpr("element_at(path_parts, -1)").collect()} == {f"{i}." for i in range(700)}
